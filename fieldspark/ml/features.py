@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.functions.columns import ColumnOrName, hash_bucket
-from fieldspark.operators.crops import LEAKAGE_COLUMNS
 
 # Model features in their order, and the target.
 FEATURES = [
@@ -68,8 +66,3 @@ def feature_stages(extra: list[str] | None = None, handle_invalid: str = "error"
 
 def feature_names(extra: list[str] | None = None) -> list[str]:
     return FEATURES + (extra or [])
-
-
-def feature_pipeline(estimator, with_leakage: bool = False) -> Pipeline:
-    extra = LEAKAGE_COLUMNS if with_leakage else []
-    return Pipeline(stages=[*feature_stages(extra), estimator])

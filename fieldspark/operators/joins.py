@@ -9,14 +9,20 @@ from pyspark.sql import functions as F
 SMALL_SIDE_ROWS = 100_000
 
 
-def broadcast_within(side: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """Hint a broadcast only if counting shows at most ``max_rows`` rows.
+def fits(side: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> bool:
+    """Whether a side has at most ``max_rows`` rows; counting stops one row later."""
+    return side.limit(max_rows + 1).count() <= max_rows
+
+
+def sized(side: DataFrame, small: bool) -> DataFrame:
+    """Broadcast a side found small. A larger one gets no hint: Spark then shuffles both
+    sides and AQE splits skewed keys."""
+    return F.broadcast(side) if small else side
 
-    A larger side comes back without a hint: Spark then shuffles both sides and
-    AQE splits skewed keys. The count stops at ``max_rows + 1`` rows.
-    """
-    rows = side.limit(max_rows + 1).count()
-    return F.broadcast(side) if rows <= max_rows else side
+
+def broadcast_within(side: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
+    """Check a side's size and hint accordingly."""
+    return sized(side, fits(side, max_rows))
 
 
 def null_safe(left: DataFrame, right: DataFrame, names: list[str], prefix: str):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldspark.operators.joins import broadcast_within, null_safe
+from fieldspark.operators.joins import fits, null_safe, sized
 from fieldspark.session import checkpointed
 
 SKETCH_ACCURACY = 10_000
@@ -49,16 +49,16 @@ def exact_percentiles(
         )
     )
     cuts = cuts.select(*[F.col(k).alias("_c_" + k) for k in group], "_cuts", "_n")
-    binned = _with_interval(values, broadcast_within(cuts), group, "_c_", len(points))
+    small = fits(cuts)
+    binned = _with_interval(values, sized(cuts, small), group, "_c_", len(points))
 
     intervals = binned.groupBy(*group, "_bin").agg(F.count("*").alias("_rows"), F.first("_n").alias("_n"))
     before = F.sum("_rows").over(W.partitionBy(*group).orderBy("_bin")) - F.col("_rows")
     located = intervals.withColumn("_before", before).where(_holds_any_rank(ranks))
-    needed = checkpointed(
-        located.groupBy(*group).agg(
-            F.map_from_entries(F.collect_list(F.struct("_bin", "_before"))).alias("_needed"),
-            F.first("_n").alias("_total"),
-        )
+    # At most one entry per cut point and group.
+    needed = located.groupBy(*group).agg(
+        F.map_from_entries(F.collect_list(F.struct("_bin", "_before"))).alias("_needed"),
+        F.first("_n").alias("_total"),
     )
     plan = cuts.join(
         needed.select(*[F.col(k).alias("_p_" + k) for k in group], "_needed", "_total"),
@@ -66,7 +66,7 @@ def exact_percentiles(
     ).select(*["_c_" + k for k in group], "_cuts", "_n", "_needed", "_total")
 
     picked = (
-        _with_interval(values, broadcast_within(plan), group, "_c_", len(points), "_needed", "_total")
+        _with_interval(values, sized(plan, small), group, "_c_", len(points), "_needed", "_total")
         .withColumn("_before", F.try_element_at("_needed", F.col("_bin")))
         .where(F.col("_before").isNotNull())
         .groupBy(*group, "_bin", "_x")
@@ -80,6 +80,9 @@ def exact_percentiles(
 
 
 def _long_form(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    if len(measures) == 1:
+        value = F.col(measures[0]).cast("double").alias("_x")
+        return df.select(*keys, F.lit(measures[0]).alias("_measure"), value).where(F.col("_x").isNotNull())
     pairs = F.array(
         *[F.struct(F.lit(m).alias("_measure"), F.col(m).cast("double").alias("_x")) for m in measures]
     )

@@ -288,7 +288,8 @@ BODIES = {
         FROM (SELECT *, 5e0 + CAST(user_id % 4 AS DOUBLE) * 5e-1 AS ph
               FROM events WHERE event_type IN ('error', 'signup'))""",
     "parquet_roundtrip": f"""
-        SELECT {PREDICTION_COLUMNS}, prediction_date, CAST(prediction_date AS DATE) AS snapshot_date FROM predictions""",
+        SELECT {PREDICTION_COLUMNS}, {AS_OF} AS prediction_date, CAST({AS_OF} AS DATE) AS snapshot_date
+        FROM predictions""",
     "append_ignore_conflicts": """
         SELECT * EXCLUDE (rn) FROM (
             SELECT *, row_number() OVER (PARTITION BY latitude, longitude, timestamp ORDER BY id) AS rn FROM hourly)
@@ -476,6 +477,24 @@ BODIES = {
                      FROM split WHERE split = 'train')""",
 }
 
+# Streaming queries give the rows of their batch forms.
+BODIES |= {
+    "stream_ingest": BODIES["stg_weather"],
+    "stream_dedupe": "SELECT DISTINCT latitude, longitude, timestamp FROM hourly",
+    "stream_alerts": "SELECT * FROM flagged",
+    "stream_unified": BODIES["sensor_unified"],
+    "stream_daily_conditions": BODIES["daily_conditions"],
+    "stream_irrigation": f"""
+        SELECT *, CASE WHEN current_moisture < 30 AND current_temp > 25 THEN 'IRRIGATE_NOW'
+                       WHEN current_moisture < 40 AND current_temp > 20 THEN 'IRRIGATE_SOON'
+                       WHEN current_moisture > 70 THEN 'SKIP_IRRIGATION' ELSE 'MONITOR' END AS recommendation,
+               CASE WHEN current_moisture < 30 THEN (40 - current_moisture) * 10 ELSE 0e0 END AS estimated_water_mm
+        FROM (SELECT window_start, {avg('soil_moisture')} AS current_moisture, {avg('air_temp')} AS current_temp
+              FROM (SELECT *, reading_timestamp AS window_start FROM unified
+                    UNION ALL SELECT *, reading_timestamp - INTERVAL 1 HOUR FROM unified)
+              GROUP BY window_start)""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql(body) for name, body in BODIES.items()}

@@ -60,9 +60,7 @@ def csv_roundtrip(spark, sf_dir):
 
 def parquet_roundtrip(spark, sf_dir):
     path = work_path(spark, "predictions")
-    batch = serving.prediction_output(
-        b.predictions(spark, sf_dir), "predicted", as_of=F.col("prediction_date")
-    )
+    batch = serving.prediction_output(b.predictions(spark, sf_dir), "predicted", as_of=MONITORING_AS_OF)
     sinks.write_snapshot(batch, path)
     return spark.read.parquet(path)
 
@@ -280,24 +278,24 @@ def crop_benchmarks(spark, sf_dir):
 
 # --- data quality ------------------------------------------------------------
 
-def _models(spark, sf_dir) -> dict[str, DataFrame]:
+def _models(spark, sf_dir, names) -> dict[str, DataFrame]:
     return reports.farm_models(
-        b.weather(spark, sf_dir), b.soil(spark, sf_dir), b.crop_yield(spark, sf_dir), MONITORING_AS_OF
+        b.weather(spark, sf_dir), b.soil(spark, sf_dir), b.crop_yield(spark, sf_dir), MONITORING_AS_OF, names
     )
 
 
 def dq_not_null(spark, sf_dir):
-    tables = _models(spark, sf_dir)
+    tables = _models(spark, sf_dir, quality.NOT_NULL)
     return quality.combine([quality.not_null(tables[t], t, c) for t, c in quality.NOT_NULL.items()])
 
 
 def dq_unique(spark, sf_dir):
-    tables = _models(spark, sf_dir)
+    tables = _models(spark, sf_dir, quality.UNIQUE)
     return quality.combine([quality.unique(tables[t], t, [c]) for t, c in quality.UNIQUE.items()])
 
 
 def dq_accepted_values(spark, sf_dir):
-    tables = _models(spark, sf_dir)
+    tables = _models(spark, sf_dir, quality.ACCEPTED_VALUES)
     return quality.combine([
         quality.accepted_values(tables[t], t, values) for t, values in quality.ACCEPTED_VALUES.items()
     ])

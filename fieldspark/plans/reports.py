@@ -58,27 +58,31 @@ def crop_forecast(predictions: DataFrame) -> DataFrame:
     return latest_predictions(predictions)
 
 
-def farm_models(weather: DataFrame, soil: DataFrame, crop_yield: DataFrame, as_of=None) -> dict[str, DataFrame]:
-    """All models by name, lazily."""
-    staged_weather, staged_soil = staging.stg_weather(weather), staging.stg_soil(soil)
+def farm_models(
+    weather: DataFrame, soil: DataFrame, crop_yield: DataFrame, as_of=None, names=None
+) -> dict[str, DataFrame]:
+    """The models by name (all, or those asked for), lazily from the raw tables."""
     staged_yield = staging.stg_crop_yield(crop_yield)
-    unified = sensors.sensor_readings_unified(staged_weather, staged_soil)
-    daily = sensors.daily_conditions(unified)
     features = crops.crop_yield_features(staged_yield)
-    return {
-        "stg_weather": staged_weather,
-        "stg_soil": staged_soil,
-        "stg_crop_yield": staged_yield,
+
+    def unified():
+        return unified_readings(weather, soil)
+
+    models = {
+        "stg_weather": lambda: staging.stg_weather(weather),
+        "stg_soil": lambda: staging.stg_soil(soil),
+        "stg_crop_yield": lambda: staged_yield,
         "int_sensor_readings_unified": unified,
-        "int_daily_conditions": daily,
-        "int_crop_yield_features": features,
-        "fct_ml_training_dataset": crops.ml_training_dataset(features),
-        "fct_current_conditions": scenario_conditions(staged_yield, as_of),
-        "fct_sensor_monitoring": monitoring(weather, soil, as_of),
-        "dim_crop_benchmarks": crops.crop_benchmarks(staged_yield),
-        "rpt_daily_farm_summary": sensors.daily_farm_summary(daily),
-        "rpt_irrigation_recommendations": irrigation(weather, soil, as_of),
+        "int_daily_conditions": lambda: sensors.daily_conditions(unified()),
+        "int_crop_yield_features": lambda: features,
+        "fct_ml_training_dataset": lambda: crops.ml_training_dataset(features),
+        "fct_current_conditions": lambda: scenario_conditions(staged_yield, as_of),
+        "fct_sensor_monitoring": lambda: monitoring(weather, soil, as_of),
+        "dim_crop_benchmarks": lambda: crops.crop_benchmarks(staged_yield),
+        "rpt_daily_farm_summary": lambda: farm_summary(weather, soil),
+        "rpt_irrigation_recommendations": lambda: irrigation(weather, soil, as_of),
     }
+    return {name: models[name]() for name in (names or models)}
 
 
 def write_models(

@@ -58,3 +58,14 @@ def checkpointed(df):
     """Reliable checkpoint of a small intermediate result."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df, name: str):
+    """Write a result that is read several times to the shared folder, and read it back.
+
+    Unlike a cache this survives lost executors and stays columnar.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -83,7 +83,7 @@ def lower_case_columns(df: DataFrame) -> DataFrame:
 def write_snapshot(df: DataFrame, path: str, stamp: str = "prediction_date") -> None:
     """Add a stamped batch below its own date folder, so the newest batch is a partition."""
     dated = df.withColumn("snapshot_date", F.to_date(stamp))
-    append_rows(dated, path, ["snapshot_date"])
+    append_rows(dated.hint("rebalance", "snapshot_date"), path, ["snapshot_date"])
 
 
 def export_csv(df: DataFrame, path: str) -> None:
