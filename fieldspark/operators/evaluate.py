@@ -10,7 +10,7 @@ from fieldspark.operators.joins import broadcast_within, null_safe
 from fieldspark.operators.percentiles import exact_percentiles
 
 # Errors carry more digits than the measures.
-ERROR_SCALE = 10
+ERROR_SCALE = 8
 THRESHOLDS = (5, 10, 20)
 
 

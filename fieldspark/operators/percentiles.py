@@ -2,16 +2,16 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one aggregation
 buffer, which fails once one group holds a large share of a big table. Here each
-group is narrowed first:
+group is narrowed around the wanted ranks first:
 
-1. a mergeable sketch (``percentile_approx``) places a few cut points around each
-   wanted rank;
-2. exact counts between the cut points tell which interval holds the rank;
-3. only the values of that interval, about 0.04 % of the rows and collapsed to
-   distinct values, are ordered and read off.
+1. a mergeable sketch (``percentile_approx``) places a few cut points per group;
+2. exact counts between the cut points tell which intervals hold wanted ranks;
+3. the values of those intervals, collapsed to distinct values with their counts,
+   are stored, usually well below one percent of the rows;
+4. an interval with still too many values for one task is narrowed again.
 
-The cut points only decide how much step 3 reads. The intervals cover the whole
-line and their counts are exact, so the result is exact even with poor cut points.
+The cut points only decide how much is kept. The intervals cover the whole line and
+their counts are exact, so the result is exact whatever the sketch says.
 """
 
 from __future__ import annotations
@@ -21,104 +21,132 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldspark.operators.joins import fits, null_safe, sized
-from fieldspark.session import checkpointed
+from fieldspark.session import checkpointed, stored
 
-SKETCH_ACCURACY = 10_000
+# Relative error 0.1 %: a sketch stays at a few ten kilobytes, however large its group.
+SKETCH_ACCURACY = 1_000
 # Cut points around each wanted rank, in units of the sketch error.
 CUT_STEPS = (-20, -2, 2, 20)
+# Cut points of every further narrowing.
+EVEN_CUTS = [i / 64 for i in range(1, 64)]
+# Most distinct values one task has to order.
+TASK_VALUES = 1_000_000
 
 
 def exact_percentiles(
-    df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]], accuracy: int = SKETCH_ACCURACY
+    df: DataFrame,
+    keys: list[str],
+    wanted: dict[str, tuple[str, float]],
+    accuracy: int = SKETCH_ACCURACY,
+    task_values: int = TASK_VALUES,
 ) -> DataFrame:
     """One row per group: ``keys`` plus one column per entry of ``wanted``.
 
     ``wanted`` maps an output name to ``(column, p)``. NULLs are ignored, ranks are
-    interpolated linearly (``percentile_cont``), and a group without values yields NULL.
+    interpolated linearly (``percentile_cont``), and a group without values has no row.
     """
     measures = sorted({column for column, _ in wanted.values()})
     ranks = sorted({p for _, p in wanted.values()})
-    values = _long_form(df, keys, measures)
     group = [*keys, "_measure"]
+    near = sorted({min(max(p + step / accuracy, 0.0), 1.0) for p in ranks for step in CUT_STEPS})
 
-    points = sorted({min(max(p + step / accuracy, 0.0), 1.0) for p in ranks for step in CUT_STEPS})
-    cuts = checkpointed(
-        values.groupBy(*group).agg(
-            F.percentile_approx("_x", F.array(*[F.lit(p) for p in points]), accuracy).alias("_cuts"),
-            F.count("*").alias("_n"),
-        )
-    )
-    cuts = cuts.select(*[F.col(k).alias("_c_" + k) for k in group], "_cuts", "_n")
-    small = fits(cuts)
-    binned = _with_interval(values, sized(cuts, small), group, "_c_", len(points))
-
-    intervals = binned.groupBy(*group, "_bin").agg(F.count("*").alias("_rows"), F.first("_n").alias("_n"))
-    before = F.sum("_rows").over(W.partitionBy(*group).orderBy("_bin")) - F.col("_rows")
-    located = intervals.withColumn("_before", before).where(_holds_any_rank(ranks))
-    # At most one entry per cut point and group.
-    needed = located.groupBy(*group).agg(
-        F.map_from_entries(F.collect_list(F.struct("_bin", "_before"))).alias("_needed"),
-        F.first("_n").alias("_total"),
-    )
-    plan = cuts.join(
-        needed.select(*[F.col(k).alias("_p_" + k) for k in group], "_needed", "_total"),
-        _aligned(group),
-    ).select(*["_c_" + k for k in group], "_cuts", "_n", "_needed", "_total")
-
-    picked = (
-        _with_interval(values, sized(plan, small), group, "_c_", len(points), "_needed", "_total")
-        .withColumn("_before", F.try_element_at("_needed", F.col("_bin")))
-        .where(F.col("_before").isNotNull())
-        .groupBy(*group, "_bin", "_x")
-        .agg(F.count("*").alias("_rows"), F.first("_before").alias("_before"), F.first("_total").alias("_n"))
-    )
-    upto = F.sum("_rows").over(W.partitionBy(*group, "_bin").orderBy("_x")) + F.col("_before")
-    ordered = picked.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("_rows"))
+    values = _narrow(_long_form(df, keys, measures), group, ranks, near, accuracy)
+    while _largest_interval(values, group) > task_values:
+        values = _narrow(values, group, ranks, EVEN_CUTS, accuracy)
+
+    upto = F.sum("_rows").over(W.partitionBy(*group, "_before").orderBy("_x")) + F.col("_before")
+    ordered = values.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("_rows"))
     return ordered.groupBy(*keys).agg(
         *[_interpolated(column, p).alias(name) for name, (column, p) in wanted.items()]
     )
 
 
 def _long_form(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """Rows (keys, measure, x): each value once, in an interval that starts at rank 0."""
     if len(measures) == 1:
         value = F.col(measures[0]).cast("double").alias("_x")
-        return df.select(*keys, F.lit(measures[0]).alias("_measure"), value).where(F.col("_x").isNotNull())
-    pairs = F.array(
-        *[F.struct(F.lit(m).alias("_measure"), F.col(m).cast("double").alias("_x")) for m in measures]
+        long = df.select(*keys, F.lit(measures[0]).alias("_measure"), value)
+    else:
+        long = df.select(*keys, F.inline(F.array(*[
+            F.struct(F.lit(m).alias("_measure"), F.col(m).cast("double").alias("_x")) for m in measures
+        ])))
+    return long.where(F.col("_x").isNotNull()).select(
+        "*", F.lit(0).cast("long").alias("_before"), F.lit(1).cast("long").alias("_rows"),
+        F.lit(None).cast("long").alias("_n"),
+    )
+
+
+def _narrow(values: DataFrame, group: list[str], ranks: list[float], points: list[float], accuracy: int) -> DataFrame:
+    """Cut every interval and keep the distinct values of the pieces that hold a wanted rank.
+
+    An interval is known by the number of rows of its group that lie before it.
+    """
+    interval = [*group, "_before"]
+    cuts = checkpointed(values.groupBy(*interval).agg(
+        F.percentile_approx("_x", F.array(*[F.lit(p) for p in points]), accuracy).alias("_cuts"),
+        F.coalesce(F.max("_n"), F.sum("_rows")).alias("_total"),
+    ))
+    cuts = cuts.select(*[F.col(k).alias("_c_" + k) for k in interval], "_cuts", "_total")
+    small = fits(cuts)
+
+    pieces = (
+        _in_pieces(values, sized(cuts, small), interval, len(points))
+        .groupBy(*interval, "_piece")
+        .agg(F.sum("_rows").alias("_rows"), F.first("_total").alias("_n"))
     )
-    return df.select(*keys, F.inline(pairs)).where(F.col("_x").isNotNull())
+    upto = F.sum("_rows").over(W.partitionBy(*interval).orderBy("_piece")) + F.col("_before")
+    # At most one entry per cut point.
+    needed = (
+        pieces.withColumn("_start", upto - F.col("_rows"))
+        .where(_holds_any(ranks, F.col("_start"), F.col("_start") + F.col("_rows")))
+        .groupBy(*interval)
+        .agg(F.map_from_entries(F.collect_list(F.struct("_piece", "_start"))).alias("_needed"))
+    )
+    plan = needed.select(*[F.col(k).alias("_p_" + k) for k in interval], "_needed").join(
+        sized(cuts, small), _same_interval(interval)
+    ).select(*["_c_" + k for k in interval], "_cuts", "_total", "_needed")
+
+    kept = (
+        _in_pieces(values, sized(plan, small), interval, len(points), "_needed")
+        .withColumn("_start", F.try_element_at("_needed", F.col("_piece")))
+        .where(F.col("_start").isNotNull())
+        .groupBy(*group, F.col("_start").alias("_before"), "_x")
+        .agg(F.sum("_rows").alias("_rows"), F.first("_total").alias("_n"))
+    )
+    return stored(kept, "percentile-values")
 
 
-def _with_interval(values, side, group, prefix, cut_count, *extra):
-    joined = values.join(side, null_safe(values, side, group, prefix))
-    below = [
-        F.when(F.col("_x") > F.get("_cuts", F.lit(i)), 1).otherwise(0) for i in range(cut_count)
-    ]
-    interval = below[0]
-    for step in below[1:]:
-        interval = interval + step
-    return joined.select(*[values[k] for k in group], "_x", interval.alias("_bin"), "_n", *extra)
+def _in_pieces(values: DataFrame, side: DataFrame, interval: list[str], cut_count: int, *extra: str) -> DataFrame:
+    """Attach the cut points and number the piece each value falls into."""
+    piece = F.lit(0)
+    for i in range(cut_count):
+        piece = piece + F.when(F.col("_x") > F.get("_cuts", F.lit(i)), 1).otherwise(0)
+    joined = values.join(side, null_safe(values, side, interval, "_c_"))
+    return joined.select(*[values[k] for k in interval], "_x", "_rows", piece.alias("_piece"), "_total", *extra)
 
 
-def _aligned(group: list[str]):
+def _same_interval(interval: list[str]):
     condition = F.lit(True)
-    for name in group:
+    for name in interval:
         condition = condition & F.col("_c_" + name).eqNullSafe(F.col("_p_" + name))
     return condition
 
 
+def _largest_interval(values: DataFrame, group: list[str]) -> int:
+    sizes = values.groupBy(*group, "_before").count()
+    return sizes.agg(F.max("count")).first()[0] or 0
+
+
 def _positions(p: float):
     position = F.lit(p) * (F.col("_n") - 1)
     return position, F.floor(position), F.ceil(position)
 
 
-def _holds_any_rank(ranks: list[float]):
+def _holds_any(ranks: list[float], start, end):
     condition = F.lit(False)
     for p in ranks:
         for rank in _positions(p)[1:]:
-            condition = condition | (
-                (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_rows"))
-            )
+            condition = condition | ((rank >= start) & (rank < end))
     return condition
 
 

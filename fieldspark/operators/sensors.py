@@ -71,7 +71,7 @@ def daily_aggregates() -> list[Column]:
         exact_avg("humidity").alias("avg_humidity"),
         exact_avg("soil_moisture").alias("avg_soil_moisture"),
         exact_avg("ph_surface").alias("avg_ph"),
-        exact_sum("solar_radiation").cast("double").alias("total_solar_radiation"),
+        exact_sum("solar_radiation").alias("total_solar_radiation"),
         F.count("*").alias("reading_count"),
     ]
 

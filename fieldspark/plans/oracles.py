@@ -219,8 +219,8 @@ def metrics(by: str, source: str, predicted: str = "predicted") -> str:
     error = f"(actual - {predicted})"
     ape = f"abs({error} / nullif(actual, 0)) * 100"
     return f"""
-        SELECT {by}, count(*) AS n, sqrt(avg({error} * {error})) AS rmse, {avg(f'abs({error})', 10)} AS mae,
-               1 - avg({error} * {error}) / nullif(var_pop(actual), 0) AS r2, {avg(ape, 10)} AS mean_ape,
+        SELECT {by}, count(*) AS n, sqrt(avg({error} * {error})) AS rmse, {avg(f'abs({error})', 8)} AS mae,
+               1 - avg({error} * {error}) / nullif(var_pop(actual), 0) AS r2, {avg(ape, 8)} AS mean_ape,
                percentile_cont(0.5) WITHIN GROUP (ORDER BY {ape}) AS median_ape
         FROM {source} GROUP BY {by}"""
 
@@ -421,16 +421,16 @@ BODIES = {
         SELECT l_orderkey, l_linenumber, crop_type, area, year, actual, predicted, error, absolute_error, percentage_error
         FROM errors""",
     "errors_by_crop": f"""
-        SELECT crop_type, round({avg('percentage_error', 10)}, 6) AS mean_ape, {pct('percentage_error', 0.5)} AS median_ape,
-               count(percentage_error) AS n, round({avg('absolute_error', 10)}, 6) AS mean_ae,
+        SELECT crop_type, round({avg('percentage_error', 8)}, 6) AS mean_ape, {pct('percentage_error', 0.5)} AS median_ape,
+               count(percentage_error) AS n, round({avg('absolute_error', 8)}, 6) AS mean_ae,
                {pct('absolute_error', 0.5)} AS median_ae
         FROM errors GROUP BY crop_type""",
     "errors_by_year": f"""
-        SELECT year, round({avg('percentage_error', 10)}, 6) AS mean_ape, count(percentage_error) AS n
+        SELECT year, round({avg('percentage_error', 8)}, 6) AS mean_ape, count(percentage_error) AS n
         FROM errors GROUP BY year""",
     "error_distribution": f"""
-        SELECT count(*) AS n, round({avg('absolute_error', 10)}, 6) AS mean_ae, {pct('absolute_error', 0.5)} AS median_ae,
-               round(stddev_samp(absolute_error), 4) AS std_ae, round({avg('percentage_error', 10)}, 6) AS mean_ape,
+        SELECT count(*) AS n, round({avg('absolute_error', 8)}, 6) AS mean_ae, {pct('absolute_error', 0.5)} AS median_ae,
+               round(stddev_samp(absolute_error), 4) AS std_ae, round({avg('percentage_error', 8)}, 6) AS mean_ape,
                {pct('percentage_error', 0.5)} AS median_ape, {pct('percentage_error', 0.75)} AS p75_ape,
                {pct('percentage_error', 0.95)} AS p95_ape
         FROM errors""",

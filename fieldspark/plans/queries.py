@@ -9,7 +9,7 @@ from fieldspark.functions.columns import hash_bucket, truncate
 from fieldspark.operators import crops, evaluate, labels, profile, quality, sensors, serving, staging
 from fieldspark.plans import bindings as b
 from fieldspark.plans import reports
-from fieldspark.session import configure, work_path
+from fieldspark.session import configure, stored, work_path
 from fieldspark.sources import readers, schemas, sinks
 
 # Fixed "now" of the time-dependent queries; the events end on 2024-01-30.
@@ -271,9 +271,9 @@ def current_conditions(spark, sf_dir):
 
 
 def crop_benchmarks(spark, sf_dir):
-    return rounded(
-        crops.crop_benchmarks(b.staged_crop_yield(spark, sf_dir)), p25_yield=6, p75_yield=6, temp_stddev=4
-    )
+    # Read several times: store the seed instead of repeating its joins.
+    seed = stored(b.staged_crop_yield(spark, sf_dir), "crop-yield")
+    return rounded(crops.crop_benchmarks(seed), p25_yield=6, p75_yield=6, temp_stddev=4)
 
 
 # --- data quality ------------------------------------------------------------
@@ -303,7 +303,7 @@ def dq_accepted_values(spark, sf_dir):
 
 def dq_relationships(spark, sf_dir):
     """The declared check, and one with orphans: orders of customers without a positive balance."""
-    staged = b.staged_crop_yield(spark, sf_dir)
+    staged = stored(b.staged_crop_yield(spark, sf_dir), "crop-yield")
     training = crops.ml_training_dataset(crops.crop_yield_features(staged))
     solvent = b.table(spark, sf_dir, "customer").where("c_acctbal > 0")
     return quality.combine([
@@ -373,9 +373,8 @@ def distinct_values(spark, sf_dir):
 
 
 def describe_numeric(spark, sf_dir):
-    return rounded(
-        profile.describe_numeric(_training(spark, sf_dir), NUMERIC), mean=4, std=4, p25=6, p50=6, p75=6
-    )
+    training = stored(_training(spark, sf_dir).select(*NUMERIC), "training")
+    return rounded(profile.describe_numeric(training, NUMERIC), mean=4, std=4, p25=6, p50=6, p75=6)
 
 
 def null_profile(spark, sf_dir):
@@ -461,6 +460,10 @@ def _errors(spark, sf_dir) -> DataFrame:
     return evaluate.prediction_errors(b.predictions(spark, sf_dir))
 
 
+def _stored_errors(spark, sf_dir, *columns) -> DataFrame:
+    return stored(_errors(spark, sf_dir).select(*columns, "absolute_error", "percentage_error"), "errors")
+
+
 def prediction_errors(spark, sf_dir):
     return _errors(spark, sf_dir).select(
         *PREDICTION_KEYS, "crop_type", "area", "year", "actual", "predicted",
@@ -470,7 +473,8 @@ def prediction_errors(spark, sf_dir):
 
 def errors_by_crop(spark, sf_dir):
     return rounded(
-        evaluate.errors_by(_errors(spark, sf_dir), "crop_type"), mean_ape=6, median_ape=6, mean_ae=6, median_ae=6
+        evaluate.errors_by(_stored_errors(spark, sf_dir, "crop_type"), "crop_type"),
+        mean_ape=6, median_ape=6, mean_ae=6, median_ae=6,
     )
 
 
@@ -480,7 +484,7 @@ def errors_by_year(spark, sf_dir):
 
 def error_distribution(spark, sf_dir):
     return rounded(
-        evaluate.error_distribution(_errors(spark, sf_dir)),
+        evaluate.error_distribution(_stored_errors(spark, sf_dir)),
         mean_ae=6, median_ae=6, std_ae=4, mean_ape=6, median_ape=6, p75_ape=6, p95_ape=6,
     )
 
@@ -503,7 +507,7 @@ def worst_errors(spark, sf_dir):
 
 def regression_metrics(spark, sf_dir):
     split = F.when(_bucket() == 0, "test").otherwise("train").alias("split")
-    scored = b.predictions(spark, sf_dir).select("actual", "predicted", split)
+    scored = stored(b.predictions(spark, sf_dir).select("actual", "predicted", split), "scored")
     return rounded(
         evaluate.regression_metrics(scored, ["split"]), rmse=4, mae=6, r2=8, mean_ape=6, median_ape=6
     )
@@ -519,7 +523,7 @@ def model_comparison(spark, sf_dir):
             ("discounted", discounted), ("taxed", taxed), ("middle", (discounted + taxed) / 2),
         )
     ])
-    long = b.predictions(spark, sf_dir).select("actual", F.inline(candidates))
+    long = stored(b.predictions(spark, sf_dir).select("actual", F.inline(candidates)), "scored")
     metrics = evaluate.regression_metrics(long, ["model"], predicted="value")
     return rounded(
         evaluate.model_comparison(metrics, "discounted"),
