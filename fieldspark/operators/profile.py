@@ -71,13 +71,16 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins between minimum and maximum; the last bin is closed, empty bins are left out."""
+    """Equal-width bins between minimum and maximum; the last bin is closed, empty bins are left out.
+
+    A constant column gets a range of one around its value.
+    """
     value = F.col(column).cast("double")
     bounds = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("bounds")).scalar()
-    low, high = bounds.getField("low"), bounds.getField("high")
-    width = (high - low) / bins
-    position = F.floor(F.try_divide(value - low, width)).cast("int")
-    bin_index = F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0))
+    least, most = bounds.getField("low"), bounds.getField("high")
+    margin = F.when(least == most, 0.5).otherwise(0.0)
+    low, width = least - margin, (most - least + margin * 2) / bins
+    bin_index = F.least(F.floor((value - low) / width).cast("int"), F.lit(bins - 1))
     return (
         df.where(value.isNotNull())
         .select(bin_index.alias("bin"), low.alias("low"), width.alias("width"))
