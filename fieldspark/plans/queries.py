@@ -373,7 +373,7 @@ def distinct_values(spark, sf_dir):
 
 
 def describe_numeric(spark, sf_dir):
-    training = stored(_training(spark, sf_dir).select(*NUMERIC), "training")
+    training = stored(_training(spark, sf_dir).select(*NUMERIC), "training", balanced=True)
     return rounded(profile.describe_numeric(training, NUMERIC), mean=4, std=4, p25=6, p50=6, p75=6)
 
 

@@ -60,12 +60,13 @@ def checkpointed(df):
     return df.checkpoint()
 
 
-def stored(df, name: str):
+def stored(df, name: str, balanced: bool = False):
     """Write a result that is read several times to the shared folder, and read it back.
 
-    Unlike a cache this survives lost executors and stays columnar.
+    Unlike a cache this survives lost executors and stays columnar. ``balanced`` evens out
+    the files first: one shuffle, worth it before many passes such as training.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if balanced else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

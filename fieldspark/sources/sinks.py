@@ -38,9 +38,19 @@ def without_conflicts(
     return fresh.join(existing.select(*keys), keys, "left_anti").select(*batch.columns)
 
 
-def append_ignore_conflicts(batch: DataFrame, path: str, keys: list[str] = WEATHER_KEY, order_by: str = "id") -> None:
-    """Append the rows whose key is in neither the table nor an earlier row of the batch."""
-    append_rows(without_conflicts(batch, _read_if_present(batch.sparkSession, path), keys, order_by), path)
+def append_ignore_conflicts(
+    batch: DataFrame, path: str, keys: list[str] = WEATHER_KEY, order_by: str = "id", time_key: str = "timestamp"
+) -> None:
+    """Append the rows whose key is in neither the table nor an earlier row of the batch.
+
+    The key holds a timestamp, so only table rows from the batch's own time span can
+    conflict; that span is pushed into the scan of the table.
+    """
+    existing = _read_if_present(batch.sparkSession, path)
+    if existing is not None:
+        first, last = batch.agg(F.min(time_key), F.max(time_key)).first()
+        existing = existing.where(F.col(time_key).between(first, last))
+    append_rows(without_conflicts(batch, existing, keys, order_by), path)
 
 
 def read_cursor(spark: SparkSession, state_path: str, source: str) -> int:
