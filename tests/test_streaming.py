@@ -1,5 +1,7 @@
 """Streams over several files and batches against their batch forms."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,10 +14,12 @@ from fieldspark.streaming import jobs
 
 @pytest.fixture(scope="module")
 def arriving(spark, sf_dir, tmp_path_factory):
-    """The events as four files in time order."""
-    path = str(tmp_path_factory.mktemp("arriving") / "events")
-    b.events(spark, sf_dir).repartitionByRange(4, "event_id").write.parquet(path)
-    return path
+    """The events as four files that arrived in time order, a minute apart."""
+    path = tmp_path_factory.mktemp("arriving") / "events"
+    b.events(spark, sf_dir).repartitionByRange(4, "event_id").write.parquet(str(path))
+    for minute, file in enumerate(sorted(path.glob("part-*.parquet"))):
+        os.utime(file, (1_700_000_000 + 60 * minute,) * 2)
+    return str(path)
 
 
 @pytest.fixture(scope="module")
