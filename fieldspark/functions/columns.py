@@ -68,7 +68,8 @@ def exact_sum(value: ColumnOrName, scale: int = 4) -> Column:
 
     Values count in units of 10^-scale; measures are declared with two decimals, so the
     default loses nothing. High and low bits of the units are summed apart as longs: that
-    costs no more than summing doubles, and neither sum can overflow before 10^12 rows.
+    costs about as much as summing doubles. Values up to 9·10^8 at the default scale fit
+    10^12 rows; beyond that an overflow raises.
     """
     units = F.rint(_col(value) * 10**scale).cast("long")
     high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(19,0)")
