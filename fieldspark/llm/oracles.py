@@ -9,7 +9,7 @@ WITH RECURSIVE words AS (
   FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN [array_to_string(w, ' ')] ELSE
-    list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS s
+    [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] END) AS s
   FROM words WHERE len(w) > 0
 ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), links AS (
