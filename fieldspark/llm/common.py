@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 # bytes.split() without arguments separates at exactly these.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+SLICE = 2_000
+
 # Functions of this subpackage travel to the executors by value, so that those need no copy of it.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
@@ -34,13 +36,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def over_batches(
     df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]
 ) -> DataFrame:
-    """Run a batch function over a DataFrame's Arrow batches; ``start`` makes it once per task."""
+    """Run a batch function over a DataFrame's Arrow batches; ``start`` makes it once per task.
+
+    Batches are handled in slices of at most ``SLICE`` rows, which bounds what a task holds.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            if batch.num_rows:
-                yield step(batch)
+            for first in range(0, batch.num_rows, SLICE):
+                yield step(batch.slice(first, SLICE))
 
     return df.mapInArrow(run, schema)
 
