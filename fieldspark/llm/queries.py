@@ -4,12 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldspark.llm import near_dups
+from fieldspark.llm import near_dups, sentencepiece_codec
 from fieldspark.llm.common import documents
 
 
+def op2_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec_digests(sentencepiece_codec.encode_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def codec_digests(encoded: DataFrame) -> DataFrame:
+    """Size and SHA-256 of the ids, written as decimals with a space between, and of the decoded text."""
+    decimals = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimals.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir), near_dups.Banding(words=2))
 
