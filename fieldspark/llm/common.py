@@ -34,18 +34,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def over_batches(
-    df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]
+    df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
+    rows: int = SLICE,
 ) -> DataFrame:
     """Run a batch function over a DataFrame's Arrow batches; ``start`` makes it once per task.
 
-    Batches are handled in slices of at most ``SLICE`` rows, which bounds what a task holds.
+    Batches are handled in slices of at most ``rows`` rows, which bounds what a task holds.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            for first in range(0, batch.num_rows, SLICE):
-                yield step(batch.slice(first, SLICE))
+            for first in range(0, batch.num_rows, rows):
+                yield step(batch.slice(first, rows))
 
     return df.mapInArrow(run, schema)
 

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import near_dups, sentencepiece_codec
+from fieldspark.llm import language, near_dups, sentencepiece_codec, token_files
 from fieldspark.llm.common import documents
+from fieldspark.session import work_path
 
 
 def op2_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,5 +31,18 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir), near_dups.Banding(words=2))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    field = language.fit_languages(docs.where(~held_out))
+    return language.predict_languages(docs, field).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op8_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "token-files")
+    token_files.write_token_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 1, path)
+    return token_files.id_digests(token_files.read_token_files(spark, path))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
