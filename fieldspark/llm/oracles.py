@@ -2,6 +2,47 @@
 
 from __future__ import annotations
 
+OP4 = r"""
+WITH RECURSIVE grades AS (
+  SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), docs AS (
+  SELECT d.doc_id, d.source,
+    coalesce(len(regexp_extract_all(d.text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    -ln((('0x' || md5('0:' || coalesce(d.doc_id::VARCHAR, 'null'))[1:13])::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+      / CASE WHEN g.quality > 0 THEN 2.0 WHEN g.quality IS NOT NULL THEN 0.5 ELSE 1.0 END AS key
+  FROM documents d LEFT JOIN grades g ON g.doc_id = d.doc_id
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS weight
+  FROM docs GROUP BY source
+), fill AS (
+  -- Round by round: sources whose share reaches their stop leave, the others share what is left.
+  SELECT 0 AS round, source, source_size, weight, NULL::DOUBLE AS stopped,
+    (SELECT sum(source_size) FROM sources)::BIGINT AS rest, (SELECT sum(weight) FROM sources)::BIGINT AS sharing
+  FROM sources
+  UNION ALL
+  SELECT round + 1, source, source_size, weight, now_stopped,
+    (rest - sum(CASE WHEN stopped IS NULL AND now_stopped IS NOT NULL THEN 3 * source_size ELSE 0 END) OVER ())::BIGINT,
+    (sharing - sum(CASE WHEN stopped IS NULL AND now_stopped IS NOT NULL THEN weight ELSE 0 END) OVER ())::BIGINT
+  FROM (SELECT *, CASE WHEN stopped IS NOT NULL THEN stopped
+      WHEN rest::DOUBLE * weight >= (3 * source_size)::DOUBLE * sharing THEN (3 * source_size)::DOUBLE END AS now_stopped FROM fill)
+  WHERE round < (SELECT count(*) FROM sources)
+), targets AS (
+  SELECT source, source_size, coalesce(stopped, rest::DOUBLE * weight / sharing) AS target
+  FROM fill WHERE round = (SELECT count(*) FROM sources)
+), budgets AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM targets
+), placed AS (
+  SELECT d.doc_id, d.size, b.source_size, b.target, b.epochs, b.target - (b.epochs * b.source_size)::DOUBLE AS budget,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
+  FROM docs d JOIN budgets b ON b.source IS NOT DISTINCT FROM d.source
+), counted AS (
+  SELECT *, epochs + CASE WHEN (2 * ahead + size)::DOUBLE <= 2 * budget THEN 1 ELSE 0 END AS copies FROM placed
+)
+SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies::BIGINT AS copies FROM counted
+"""
+
 OP5 = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
@@ -30,4 +71,4 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN labels l ON
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_minhash_near_dedup": OP5}
+    return {"op4_source_mixing": OP4, "op5_minhash_near_dedup": OP5}

@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import language, near_dups, sentencepiece_codec, token_files
-from fieldspark.llm.common import documents
+from fieldspark.llm import language, mixing, near_dups, pii, sentencepiece_codec, token_files
+from fieldspark.llm.common import documents, table
 from fieldspark.session import work_path
 
+# The secret of a real run belongs in the job's configuration.
+PII_KEY = "a key of the test run"
+
 
 def op2_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(sentencepiece_codec.encode_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")))
@@ -27,6 +30,10 @@ def codec_digests(encoded: DataFrame) -> DataFrame:
     )
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir), mixing.label_weights(table(spark, sf_dir, "labels")))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir), near_dups.Banding(words=2))
 
@@ -44,5 +51,9 @@ def op8_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.id_digests(token_files.read_token_files(spark, path))
 
 
+def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(documents(spark, sf_dir), PII_KEY)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
