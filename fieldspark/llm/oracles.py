@@ -69,6 +69,26 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(low, d.doc_id) AS compon
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN labels l ON l.id = d.doc_id
 """
 
+OP9 = """
+WITH parts AS (
+  SELECT rowid AS row, vec_id, len(embedding) AS width, generate_subscripts(embedding, 1) AS place,
+    unnest(embedding)::DOUBLE AS x
+  FROM (SELECT row_number() OVER () AS rowid, vec_id, embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL)
+), usable AS (
+  SELECT row FROM parts GROUP BY row HAVING bool_and(x IS NOT NULL AND isfinite(x))
+), whole AS (
+  SELECT p.row, vec_id, width, place, floor(256 * x)::BIGINT AS q FROM parts p JOIN usable u ON u.row = p.row
+), scored AS (
+  SELECT a.vec_id AS query_id, b.row, b.vec_id, sum(a.q * b.q)::BIGINT AS score
+  FROM whole a JOIN whole b ON a.place = b.place AND a.width = b.width AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0 GROUP BY a.vec_id, b.row, b.vec_id
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mixing": OP4, "op5_minhash_near_dedup": OP5}
+    return {"op4_source_mixing": OP4, "op5_minhash_near_dedup": OP5, "op9_exact_top_k": OP9}

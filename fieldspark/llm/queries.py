@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import language, mixing, near_dups, pii, sentencepiece_codec, token_files
+from fieldspark.llm import language, mixing, near_dups, pii, quality, sentencepiece_codec, token_files, topk
 from fieldspark.llm.common import documents, table
 from fieldspark.session import work_path
 
@@ -38,6 +38,11 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir), near_dups.Banding(words=2))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.judge(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
@@ -51,6 +56,10 @@ def op8_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.id_digests(token_files.read_token_files(spark, path))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(documents(spark, sf_dir), PII_KEY)
 
