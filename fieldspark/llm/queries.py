@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import language, mixing, near_dups, pii, quality, sentencepiece_codec, token_files, topk
+from fieldspark.llm import (
+    language, mixing, near_dups, pii, quality, sentencepiece_codec, token_counts, token_files, topk, toxicity,
+)
 from fieldspark.llm.common import documents, table
 from fieldspark.session import work_path
 
@@ -16,6 +18,11 @@ from fieldspark.session import work_path
 PII_KEY = "a key of the test run"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.severity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(sentencepiece_codec.encode_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")))
 
@@ -30,6 +37,11 @@ def codec_digests(encoded: DataFrame) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_counts.token_counts(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir), mixing.label_weights(table(spark, sf_dir, "labels")))
 
