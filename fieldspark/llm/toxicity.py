@@ -179,7 +179,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Scale
 
 def severity(docs: DataFrame, scale: Scale | None) -> DataFrame:
     """Rows (doc_id, severity, grade, toxic): expected severity, predicted grade, and whether that is above 0."""
-    scale = scale or Scale({}, [np.inf])
+    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if scale is None:
+        return columns.select("doc_id", F.lit(0.0).alias("severity"), F.lit(0).alias("grade"), F.lit(False).alias("toxic"))
     thresholds = np.array(scale.thresholds)
 
     def start():
@@ -193,5 +195,4 @@ def severity(docs: DataFrame, scale: Scale | None) -> DataFrame:
             )
         return step
 
-    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return over_batches(columns, "doc_id long, severity double, grade int, toxic boolean", start)
