@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,30 +59,6 @@ def hg_to_tonnes(value: ColumnOrName) -> Column:
     return _col(value) / 10000
 
 
-_LOW_BITS = 20
-
-
-def exact_sum(value: ColumnOrName, scale: int = 4) -> Column:
-    """Sum as a double that is the same whatever the partitioning or arrival order.
-
-    Values count in units of 10^-scale; measures are declared with two decimals, so the
-    default loses nothing. High and low bits of the units are summed apart as longs: that
-    costs about as much as summing doubles. Values up to 9·10^8 at the default scale fit
-    10^12 rows; beyond that an overflow raises.
-    """
-    units = F.rint(_col(value) * 10**scale).cast("long")
-    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(19,0)")
-    low = F.sum(units.bitwiseAND(F.lit(2**_LOW_BITS - 1).cast("long"))).cast("decimal(19,0)")
-    total = (high * F.lit(Decimal(2**_LOW_BITS)) + low).cast("decimal(27,0)")
-    return (total * F.lit(Decimal(1).scaleb(-scale))).cast("double")
-
-
-def exact_avg(value: ColumnOrName, scale: int = 4) -> Column:
-    """Mean over the non-NULL values built on :func:`exact_sum`; NULL when there are none."""
-    column = _col(value)
-    return F.try_divide(exact_sum(column, scale), F.count(column).cast("double"))
-
-
 def hash_bucket(buckets: int, *keys: ColumnOrName) -> Column:
     """Stable bucket 0 … buckets-1 from key values; does not depend on partitioning."""
     text = F.concat_ws("|", *[_col(k).cast("string") for k in keys])

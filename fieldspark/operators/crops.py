@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.functions.columns import exact_avg, moment
+from fieldspark.functions.columns import moment
 from fieldspark.operators.joins import null_safe
 from fieldspark.operators.percentiles import exact_percentiles
 
@@ -67,9 +67,9 @@ def base_scenarios(staged: DataFrame) -> DataFrame:
         staged.where(F.col("year") >= BASE_YEARS_FROM)
         .groupBy("area", F.col("item").alias("crop_type"))
         .agg(
-            exact_avg("average_rainfall_mm_per_year").alias("baseline_rainfall"),
-            exact_avg("pesticides_tonnes").alias("baseline_pesticides"),
-            exact_avg("avg_temp").alias("baseline_temp"),
+            F.avg("average_rainfall_mm_per_year").alias("baseline_rainfall"),
+            F.avg("pesticides_tonnes").alias("baseline_pesticides"),
+            F.avg("avg_temp").alias("baseline_temp"),
         )
     )
 
@@ -99,12 +99,12 @@ def crop_benchmarks(staged: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFr
     stats = (
         staged.groupBy(F.col("item").alias("crop_type"))
         .agg(
-            exact_avg("hg_ha_yield").alias("avg_yield"),
+            F.avg("hg_ha_yield").alias("avg_yield"),
             F.max("hg_ha_yield").alias("max_yield"),
-            exact_avg("avg_temp").alias("optimal_temp"),
+            F.avg("avg_temp").alias("optimal_temp"),
             F.stddev_samp("avg_temp").alias("temp_stddev"),
-            exact_avg("average_rainfall_mm_per_year").alias("optimal_rainfall"),
-            exact_avg("pesticides_tonnes").alias("typical_pesticide_use"),
+            F.avg("average_rainfall_mm_per_year").alias("optimal_rainfall"),
+            F.avg("pesticides_tonnes").alias("typical_pesticide_use"),
             F.count("*").alias("sample_size"),
         )
         .where(F.col("sample_size") >= min_samples)

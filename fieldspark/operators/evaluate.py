@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.functions.columns import exact_avg
+
 from fieldspark.operators.joins import broadcast_within, null_safe
 from fieldspark.operators.percentiles import exact_percentiles
 
-# Errors carry more digits than the measures.
-ERROR_SCALE = 8
 THRESHOLDS = (5, 10, 20)
 
 
@@ -27,9 +25,9 @@ def prediction_errors(df: DataFrame, actual: str = "actual", predicted: str = "p
 def errors_by(errors: DataFrame, key: str) -> DataFrame:
     """Mean and median error per group, worst mean percentage first."""
     stats = errors.groupBy(key).agg(
-        exact_avg("percentage_error", ERROR_SCALE).alias("mean_ape"),
+        F.avg("percentage_error").alias("mean_ape"),
         F.count("percentage_error").alias("n"),
-        exact_avg("absolute_error", ERROR_SCALE).alias("mean_ae"),
+        F.avg("absolute_error").alias("mean_ae"),
     )
     medians = exact_percentiles(
         errors.withColumnRenamed(key, "m_" + key), ["m_" + key],
@@ -45,7 +43,7 @@ def errors_by(errors: DataFrame, key: str) -> DataFrame:
 def mean_ape_by(errors: DataFrame, key: str) -> DataFrame:
     """Mean absolute percentage error per group."""
     return errors.groupBy(key).agg(
-        exact_avg("percentage_error", ERROR_SCALE).alias("mean_ape"), F.count("percentage_error").alias("n")
+        F.avg("percentage_error").alias("mean_ape"), F.count("percentage_error").alias("n")
     )
 
 
@@ -53,9 +51,9 @@ def error_distribution(errors: DataFrame) -> DataFrame:
     """One row: mean, median and deviation of the absolute error, percentiles of the percentage error."""
     stats = errors.agg(
         F.count("*").alias("n"),
-        exact_avg("absolute_error", ERROR_SCALE).alias("mean_ae"),
+        F.avg("absolute_error").alias("mean_ae"),
         F.stddev_samp("absolute_error").alias("std_ae"),
-        exact_avg("percentage_error", ERROR_SCALE).alias("mean_ape"),
+        F.avg("percentage_error").alias("mean_ape"),
         F.lit("all").alias("scope"),
     )
     ranks = exact_percentiles(
@@ -94,9 +92,9 @@ def regression_metrics(
     stats = errors.groupBy(*by).agg(
         F.count("*").alias("n"),
         F.sqrt(F.avg(F.col("error") * F.col("error"))).alias("rmse"),
-        exact_avg("absolute_error", ERROR_SCALE).alias("mae"),
+        F.avg("absolute_error").alias("mae"),
         (1 - F.try_divide(F.avg(F.col("error") * F.col("error")), F.var_pop(actual))).alias("r2"),
-        exact_avg("percentage_error", ERROR_SCALE).alias("mean_ape"),
+        F.avg("percentage_error").alias("mean_ape"),
     )
     medians = exact_percentiles(
         errors.select(*[F.col(k).alias("m_" + k) for k in by], "percentage_error"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.functions.columns import exact_avg
+
 from fieldspark.operators.percentiles import exact_percentiles
 
 
@@ -25,7 +25,7 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     stats = df.agg(*[
         F.struct(
             F.count(c).alias("n"),
-            exact_avg(c).alias("mean"),
+            F.avg(c).alias("mean"),
             F.stddev_samp(c).alias("std"),
             F.min(c).cast("double").alias("min"),
             F.max(c).cast("double").alias("max"),
@@ -71,22 +71,23 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins between minimum and maximum; the last bin is closed, empty bins are left out.
+    """All ``bins`` equal-width bins between minimum and maximum, empty ones with 0; the last is closed.
 
-    A constant column gets a range of one around its value.
+    NULL and NaN are left out. A constant column gets a range of one around its value, and a column
+    without values no bins.
     """
     value = F.col(column).cast("double")
-    bounds = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("bounds")).scalar()
-    least, most = bounds.getField("low"), bounds.getField("high")
-    margin = F.when(least == most, 0.5).otherwise(0.0)
-    low, width = least - margin, (most - least + margin * 2) / bins
-    bin_index = F.least(F.floor((value - low) / width).cast("int"), F.lit(bins - 1))
-    return (
-        df.where(value.isNotNull())
-        .select(bin_index.alias("bin"), low.alias("low"), width.alias("width"))
-        .groupBy("bin")
-        .agg(F.first("low").alias("low"), F.first("width").alias("width"), F.count("*").alias("n"))
-        .select("bin", (F.col("low") + F.col("bin") * F.col("width")).alias("bin_start"), "n")
+    values = df.select(value.alias("x")).where("x is not null and not isnan(x)")
+    bounds = values.agg(F.min("x").alias("least"), F.max("x").alias("most"))
+    margin = F.when(F.col("least") == F.col("most"), 0.5).otherwise(0.0)
+    low, width = F.col("least") - margin, (F.col("most") - F.col("least") + margin * 2) / bins
+    edges = bounds.where("least is not null").select(low.alias("low"), width.alias("width"))
+    edge = edges.select(F.struct("low", "width").alias("edge")).scalar()
+    bin_index = F.least(F.floor((F.col("x") - edge.getField("low")) / edge.getField("width")).cast("int"), F.lit(bins - 1))
+    counted = values.groupBy(bin_index.alias("bin")).agg(F.count("*").alias("n"))
+    every = edges.select("low", "width", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return every.join(counted, "bin", "left").select(
+        "bin", (F.col("low") + F.col("bin") * F.col("width")).alias("bin_start"), F.coalesce("n", F.lit(0)).alias("n")
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldspark.functions.columns import exact_avg, exact_sum, moment, truncate
+from fieldspark.functions.columns import moment, truncate
 
 # Thresholds of the flags, alerts and recommendations.
 TEMP_RANGE = (-50, 60)
@@ -65,13 +65,13 @@ def sensor_readings_unified(weather: DataFrame, soil: DataFrame) -> DataFrame:
 def daily_aggregates() -> list[Column]:
     """The measures of the daily roll-up, shared by the batch and the streaming form."""
     return [
-        exact_avg("air_temp").alias("avg_daily_temp"),
+        F.avg("air_temp").alias("avg_daily_temp"),
         F.min("air_temp").alias("min_daily_temp"),
         F.max("air_temp").alias("max_daily_temp"),
-        exact_avg("humidity").alias("avg_humidity"),
-        exact_avg("soil_moisture").alias("avg_soil_moisture"),
-        exact_avg("ph_surface").alias("avg_ph"),
-        exact_sum("solar_radiation").alias("total_solar_radiation"),
+        F.avg("humidity").alias("avg_humidity"),
+        F.avg("soil_moisture").alias("avg_soil_moisture"),
+        F.avg("ph_surface").alias("avg_ph"),
+        F.sum("solar_radiation").alias("total_solar_radiation"),
         F.count("*").alias("reading_count"),
     ]
 
@@ -98,12 +98,7 @@ def daily_farm_summary(daily: DataFrame) -> DataFrame:
 def rolling_7d_temp(daily: DataFrame) -> DataFrame:
     """Mean of the daily mean temperature over the last seven rows, on the daily roll-up."""
     last_seven = W.orderBy("date").rowsBetween(-6, 0)
-    total = F.sum(F.col("avg_daily_temp").cast("decimal(18,10)")).over(last_seven)
-    days = F.count("avg_daily_temp").over(last_seven)
-    return daily.select(
-        "date", "avg_daily_temp",
-        F.try_divide(total.cast("double"), days.cast("double")).alias("temp_7day_avg"),
-    )
+    return daily.select("date", "avg_daily_temp", F.avg("avg_daily_temp").over(last_seven).alias("temp_7day_avg"))
 
 
 def reading_flags() -> list[Column]:
@@ -142,8 +137,8 @@ def sensor_monitoring(unified: DataFrame, as_of=None) -> DataFrame:
 
 def irrigation_aggregates() -> list[Column]:
     return [
-        exact_avg("soil_moisture").alias("current_moisture"),
-        exact_avg("air_temp").alias("current_temp"),
+        F.avg("soil_moisture").alias("current_moisture"),
+        F.avg("air_temp").alias("current_temp"),
     ]
 
 

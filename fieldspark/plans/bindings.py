@@ -1,7 +1,7 @@
 """Farm-shaped tables derived from the given star-schema and event tables.
 
 This is the only module that knows those tables. Each function keeps every row of
-the events or line items it is built from.
+the events or line items it is built from: each event is either a weather or a soil reading.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from fieldspark.functions.columns import hg_to_kg, hg_to_tonnes, timestamp_to_ns
 from fieldspark.operators.staging import stg_crop_yield, stg_soil, stg_weather
 
 WEATHER_EVENTS = ["view", "click"]
-SOIL_EVENTS = ["error", "signup"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,7 +42,7 @@ def weather_from(events: DataFrame) -> DataFrame:
 def soil_from(events: DataFrame) -> DataFrame:
     """Raw soil readings."""
     surface = (F.col("user_id") % 4) * F.lit(0.5).cast("double") + 5
-    return events.where(F.col("event_type").isin(SOIL_EVENTS)).select(
+    return events.where(~F.col("event_type").isin(WEATHER_EVENTS)).select(
         F.col("event_id").alias("id"),
         timestamp_to_ns("ts").alias("timestamp"),
         (F.col("value") / 3).alias("t_0_cm"),

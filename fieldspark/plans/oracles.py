@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from fieldspark.operators.quality import ACCEPTED_VALUES, NOT_NULL
+from fieldspark.plans.queries import SINGLE_PRECISION
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 IRRIGATION_AS_OF = "TIMESTAMP '2024-01-30 23:59:59'"
 CUTOFF = "TIMESTAMP '2024-01-16 00:00:00'"
 
 
-def avg(x: str, scale: int = 4) -> str:
-    precision = 18 if scale <= 6 else 28
-    return f"CAST(sum(CAST({x} AS DECIMAL({precision},{scale}))) AS DOUBLE) / CAST(nullif(count({x}), 0) AS DOUBLE)"
+def avg(x: str) -> str:
+    return f"avg({x})"
 
 
 def pct(x: str, p: float) -> str:
@@ -31,7 +31,7 @@ CTES = {
                ph + 1e0 / 10 AS ph_5_15cm, ph + 2e0 / 10 AS ph_15_30cm, ph + 3e0 / 10 AS ph_30_60cm,
                ph + 4e0 / 10 AS ph_60_100cm, ph + 5e0 / 10 AS ph_100_200cm, epoch_us(ts) * 1000 AS created_at
         FROM (SELECT *, 5e0 + CAST(user_id % 4 AS DOUBLE) * 5e-1 AS ph
-              FROM events WHERE event_type IN ('error', 'signup'))""",
+              FROM events WHERE event_type NOT IN ('view', 'click'))""",
     "crop_yield": """
         SELECT n_name AS area, p_type AS item, CAST(year(o_orderdate) + 12 AS INTEGER) AS year,
                l_extendedprice AS hg_ha_yield, p_retailprice AS average_rain_fall_mm_per_year,
@@ -76,7 +76,7 @@ CTES = {
                min(air_temp) AS min_daily_temp, max(air_temp) AS max_daily_temp,
                {avg('humidity')} AS avg_humidity, {avg('soil_moisture')} AS avg_soil_moisture,
                {avg('ph_surface')} AS avg_ph,
-               CAST(sum(CAST(solar_radiation AS DECIMAL(18,4))) AS DOUBLE) AS total_solar_radiation,
+               sum(solar_radiation) AS total_solar_radiation,
                count(*) AS reading_count
         FROM unified GROUP BY 1""",
     "summary": """
@@ -219,25 +219,26 @@ def metrics(by: str, source: str, predicted: str = "predicted") -> str:
     error = f"(actual - {predicted})"
     ape = f"abs({error} / nullif(actual, 0)) * 100"
     return f"""
-        SELECT {by}, count(*) AS n, sqrt(avg({error} * {error})) AS rmse, {avg(f'abs({error})', 8)} AS mae,
-               1 - avg({error} * {error}) / nullif(var_pop(actual), 0) AS r2, {avg(ape, 8)} AS mean_ape,
+        SELECT {by}, count(*) AS n, sqrt(avg({error} * {error})) AS rmse, {avg(f'abs({error})')} AS mae,
+               1 - avg({error} * {error}) / nullif(var_pop(actual), 0) AS r2, {avg(ape)} AS mean_ape,
                percentile_cont(0.5) WITHIN GROUP (ORDER BY {ape}) AS median_ape
         FROM {source} GROUP BY {by}"""
 
 
 def histogram(column: str, source: str, bins: int) -> str:
     return f"""
-        SELECT bin, round(any_value(low) + bin * any_value(width), 6) AS bin_start, count(*) AS n FROM (
-            SELECT coalesce(least(CAST(floor((x - low) / nullif(width, 0)) AS INTEGER), {bins - 1}), 0) AS bin, low, width
-            FROM (SELECT {column} AS x FROM {source}),
-                 (SELECT min({column}) AS low, (max({column}) - min({column})) / {bins} AS width FROM {source}))
-        GROUP BY bin"""
+        SELECT CAST(k AS INTEGER) AS bin, round(low + k * width, 6) AS bin_start, count(x) AS n
+        FROM (SELECT min({column}) AS low, (max({column}) - min({column})) / {bins} AS width FROM {source})
+        CROSS JOIN (SELECT unnest(range({bins})) AS k)
+        LEFT JOIN (SELECT {column} AS x FROM {source})
+          ON coalesce(least(CAST(floor((x - low) / nullif(width, 0)) AS INTEGER), {bins - 1}), 0) = k AND x IS NOT NULL
+        GROUP BY k, low, width"""
 
 
 def describe(column: str) -> str:
     x = f"CAST({column} AS DOUBLE)"
     return f"""
-        SELECT '{column}' AS column_name, count({column}) AS n, round({avg(column)}, 4) AS mean,
+        SELECT '{column}' AS column_name, count({column}) AS n, {avg(column)} AS mean,
                round(stddev_samp({x}), 4) AS std, min({x}) AS min, {pct(x, 0.25)} AS p25, {pct(x, 0.5)} AS p50,
                {pct(x, 0.75)} AS p75, max({x}) AS max FROM training"""
 
@@ -286,7 +287,7 @@ BODIES = {
                ph + 0e0 AS ph_0_5cm, ph + 1e0 / 10 AS ph_5_15cm, ph + 2e0 / 10 AS ph_15_30cm,
                ph + 3e0 / 10 AS ph_30_60cm, ph + 4e0 / 10 AS ph_60_100cm, ph + 5e0 / 10 AS ph_100_200cm
         FROM (SELECT *, 5e0 + CAST(user_id % 4 AS DOUBLE) * 5e-1 AS ph
-              FROM events WHERE event_type IN ('error', 'signup'))""",
+              FROM events WHERE event_type NOT IN ('view', 'click'))""",
     "parquet_roundtrip": f"""
         SELECT {PREDICTION_COLUMNS}, {AS_OF} AS prediction_date, CAST({AS_OF} AS DATE) AS snapshot_date
         FROM predictions""",
@@ -319,8 +320,7 @@ BODIES = {
     "daily_farm_summary": "SELECT * FROM summary ORDER BY date DESC",
     "rolling_7d_temp": """
         SELECT date, avg_daily_temp,
-               round(CAST(sum(CAST(avg_daily_temp AS DECIMAL(18,10))) OVER w AS DOUBLE)
-                     / count(avg_daily_temp) OVER w, 6) AS temp_7day_avg
+               avg(avg_daily_temp) OVER w AS temp_7day_avg
         FROM daily WINDOW w AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
     "sensor_monitoring": "SELECT * FROM monitoring",
     "irrigation_recommendation": "SELECT * FROM irrigation",
@@ -394,25 +394,25 @@ BODIES = {
         ORDER BY reading_timestamp DESC, latitude DESC, longitude DESC, pressure DESC, air_temp DESC LIMIT 100""",
     "prediction_output": f"SELECT {PREDICTION_COLUMNS}, {AS_OF} AS prediction_date FROM predictions",
     "scenario_summary": f"""
-        SELECT scenario, round_even({avg('predicted_yield_kg_ha', 6)}, 0) AS mean_kg_ha,
+        SELECT scenario, round_even({avg('predicted_yield_kg_ha')}, 0) AS mean_kg_ha,
                round_even(min(predicted_yield_kg_ha), 0) AS min_kg_ha,
                round_even(max(predicted_yield_kg_ha), 0) AS max_kg_ha
         FROM predictions GROUP BY scenario""",
     "prediction_summary": f"""
-        SELECT round({avg('predicted', 6)}, 6) AS avg_prediction, min(predicted) AS min_prediction,
+        SELECT {avg('predicted')} AS avg_prediction, min(predicted) AS min_prediction,
                max(predicted) AS max_prediction, count(*) AS n_predictions FROM predictions""",
     "top_predictions": EXTREME.format("DESC"),
     "bottom_predictions": EXTREME.format("ASC"),
     "predictions_by_crop": f"""
-        SELECT crop_type, round({avg('predicted_yield_kg_ha', 6)}, 6) AS avg_yield_kg_ha, count(*) AS n_predictions
+        SELECT crop_type, {avg('predicted_yield_kg_ha')} AS avg_yield_kg_ha, count(*) AS n_predictions
         FROM predictions GROUP BY crop_type""",
     "forecast_kpis": f"""
-        SELECT round({avg("CASE WHEN scenario = 'baseline' THEN predicted_yield_kg_ha END", 6)}, 6) AS baseline_avg_kg_ha,
+        SELECT {avg("CASE WHEN scenario = 'baseline' THEN predicted_yield_kg_ha END")} AS baseline_avg_kg_ha,
                max(predicted_yield_kg_ha) AS max_kg_ha,
                strftime(max(prediction_date), '%Y-%m-%d') AS prediction_date
         FROM predictions WHERE prediction_date = (SELECT max(prediction_date) FROM predictions)""",
     "yield_by_crop_scenario": "SELECT crop_type, {} FROM predictions GROUP BY crop_type".format(", ".join(
-        f"round(CAST(sum(CAST(predicted_yield_kg_ha AS DECIMAL(18,6))) FILTER (WHERE scenario = '{s}') AS DOUBLE), 3) AS {s}"
+        f"sum(predicted_yield_kg_ha) FILTER (WHERE scenario = '{s}') AS {s}"
         for s in ("baseline", "optimistic", "pessimistic", "conservative")
     )),
     "latest_predictions": """
@@ -421,16 +421,16 @@ BODIES = {
         SELECT l_orderkey, l_linenumber, crop_type, area, year, actual, predicted, error, absolute_error, percentage_error
         FROM errors""",
     "errors_by_crop": f"""
-        SELECT crop_type, round({avg('percentage_error', 8)}, 6) AS mean_ape, {pct('percentage_error', 0.5)} AS median_ape,
-               count(percentage_error) AS n, round({avg('absolute_error', 8)}, 6) AS mean_ae,
+        SELECT crop_type, {avg('percentage_error')} AS mean_ape, {pct('percentage_error', 0.5)} AS median_ape,
+               count(percentage_error) AS n, {avg('absolute_error')} AS mean_ae,
                {pct('absolute_error', 0.5)} AS median_ae
         FROM errors GROUP BY crop_type""",
     "errors_by_year": f"""
-        SELECT year, round({avg('percentage_error', 8)}, 6) AS mean_ape, count(percentage_error) AS n
+        SELECT year, {avg('percentage_error')} AS mean_ape, count(percentage_error) AS n
         FROM errors GROUP BY year""",
     "error_distribution": f"""
-        SELECT count(*) AS n, round({avg('absolute_error', 8)}, 6) AS mean_ae, {pct('absolute_error', 0.5)} AS median_ae,
-               round(stddev_samp(absolute_error), 4) AS std_ae, round({avg('percentage_error', 8)}, 6) AS mean_ape,
+        SELECT count(*) AS n, {avg('absolute_error')} AS mean_ae, {pct('absolute_error', 0.5)} AS median_ae,
+               round(stddev_samp(absolute_error), 4) AS std_ae, {avg('percentage_error')} AS mean_ape,
                {pct('percentage_error', 0.5)} AS median_ape, {pct('percentage_error', 0.75)} AS p75_ape,
                {pct('percentage_error', 0.95)} AS p95_ape
         FROM errors""",
@@ -445,12 +445,12 @@ BODIES = {
         SELECT l_orderkey, l_linenumber, actual, predicted, error, crop_type, area
         FROM errors ORDER BY absolute_error DESC, l_orderkey, l_linenumber LIMIT 5""",
     "regression_metrics": f"""
-        SELECT split, n, round(rmse, 4) AS rmse, round(mae, 6) AS mae, round(r2, 8) AS r2,
-               round(mean_ape, 6) AS mean_ape, round(median_ape, 6) AS median_ape
+        SELECT split, n, round(rmse, 4) AS rmse, mae, round(r2, 8) AS r2,
+               mean_ape, round(median_ape, 6) AS median_ape
         FROM ({metrics('split', 'split')})""",
     "model_comparison": """
-        SELECT m.model, round(m.r2, 8) AS r2, round(m.rmse, 4) AS rmse, round(m.mae, 6) AS mae,
-               round(m.mean_ape, 6) AS mean_ape, round(m.median_ape, 6) AS median_ape,
+        SELECT m.model, round(m.r2, 8) AS r2, round(m.rmse, 4) AS rmse, m.mae AS mae,
+               m.mean_ape AS mean_ape, round(m.median_ape, 6) AS median_ape,
                round((m.r2 - b.r2) / b.r2 * 100, 4) AS r2_change_pct,
                round((m.rmse - b.rmse) * -1 / b.rmse * 100, 4) AS rmse_change_pct,
                round((m.mae - b.mae) * -1 / b.mae * 100, 4) AS mae_change_pct
@@ -497,4 +497,8 @@ BODIES |= {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql(body) for name, body in BODIES.items()}
+    found = {name: sql(body) for name, body in BODIES.items()}
+    for name, columns in SINGLE_PRECISION.items():
+        casts = ", ".join(f"CAST({c} AS FLOAT) AS {c}" for c in columns)
+        found[name] = f"SELECT * REPLACE ({casts}) FROM ({found[name]})"
+    return found
