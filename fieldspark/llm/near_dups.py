@@ -9,9 +9,9 @@ of 700. Two documents of similarity s meet in some table with probability
 1. one pass computes set size, set fingerprint and the hash tuples of each document;
 2. documents with equal sets form a class; only the smallest doc_id of a class goes on;
 3. in each table bucket the smallest member is the centre, and every member is compared with it
-   on the full sets. Members linked by then need no further comparison: a bucket is done once
-   all its members are in one component. The rest is compared in rounds: small rests member by
-   member, larger ones against the next centre, so rows never grow with the square of a bucket;
+   on the full sets. Members in the centre's component need no comparison with each other. The
+   others are compared with all members of that centre, block by block inside tasks, which give
+   back only links that join components: rows never grow with the square of a bucket;
 4. components come from label propagation with pointer jumping.
 
 Sets hold 64-bit hashes of shingles and are compared whole.
@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +37,10 @@ from pyspark.sql import functions as F
 from fieldspark.llm.common import over_batches, texts, window_hashes, word_hashes
 from fieldspark.session import stored
 
-# A bucket rest of at most this many members is compared member by member.
-SMALL_REST = 16
+# Documents of one left tuple beyond which its rows are spread over the tasks.
+CROWDED = 100_000
+# Sets that one task compares with as many others.
+BLOCK = 256
 # Shingles hashed at once: bounds a task's memory, and keeps the arrays in the processor's cache.
 CHUNK = 1 << 16
 
@@ -136,106 +139,158 @@ def _signatures(docs: DataFrame, banding: Banding) -> DataFrame:
             return pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
                 as_lists(tuples(all_mins, 0, n_left, w_left)),
-                as_lists(tuples(all_mins, n_left * w_left, n_right, w_right)),
+                as_lists((tuples(all_mins, n_left * w_left, n_right, w_right) >> 32).astype(np.int32)),
             ], ["doc_id", "n_shingles", "set_id", "left", "right"])
         return step
 
-    schema = "doc_id long, n_shingles long, set_id binary, left array<long>, right array<long>"
+    schema = "doc_id long, n_shingles long, set_id binary, left array<long>, right array<int>"
     return over_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), schema, start)
 
 
 def _links(docs: DataFrame, classes: DataFrame, banding: Banding) -> DataFrame:
-    """Links (a, b) between classes that join all pairs of similar classes that share a bucket."""
-    keys = (
-        classes.select("id", F.posexplode("left").alias("i", "l"), "right")
-        .select("id", "i", "l", F.posexplode("right").alias("j", "r"))
-        .select("id", F.xxhash64("i", "l", "j", "r").alias("key"))
+    """Links (a, b) between classes that connect all similar classes of a shared bucket."""
+    members = stored(_members(classes), "near-dup-members")
+    sets = stored(_sets(docs, members, banding.words), "near-dup-items")
+    stars = stored(_compare_with_centres(members, sets, banding.percent), "near-dup-stars")
+    return stars.union(_compare_rest(members, sets, components(stars), banding.percent))
+
+
+def _members(classes: DataFrame) -> DataFrame:
+    """Rows (centre, id): the members of all buckets with the bucket's smallest member.
+
+    Rows travel once per left tuple, with all right tuples, and unfold to table keys where they
+    arrive. Left tuples of very many documents are unfolded first: their keys spread over the tasks,
+    and the join back to the centres can be split within a key.
+    """
+    packed = classes.select("id", F.posexplode("left").alias("i", "l"), "right").select(
+        "id", F.xxhash64("i", "l").alias("left_key"), "right"
     )
-    shared = keys.groupBy("key").agg(F.min("id").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    rest = stored(
-        keys.join(shared.select("key", "centre"), "key").where("id <> centre"), "near-dup-buckets"
-    )
-    pairs = rest.select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    compared = stored(_compare(docs, pairs, banding), "near-dup-compared")
-    links = compared.where("similar").select("a", "b")
-    rest = rest.select("key", "id")
+    crowded = stored(packed.groupBy("left_key").count().where(F.col("count") > CROWDED).select("left_key"), "near-dup-crowded")
+    together = packed.join(crowded, "left_key", "left_anti").repartition("left_key")
+    apart = packed.join(crowded, "left_key", "left_semi")
 
-    while True:
-        labels = components(links)
-        labelled = (
-            rest.join(labels.select("id", "label"), "id", "left")
-            .select("key", "id", F.coalesce("label", "id").alias("label"))
-        )
-        open_keys = labelled.groupBy("key").agg(
-            F.min("id").alias("centre"), F.min("label").alias("low"), F.max("label").alias("high"),
-            F.count("*").alias("n"),
-        ).where("low <> high")
-        rest = stored(labelled.join(open_keys.select("key", "centre", "n"), "key"), "near-dup-rest")
-        if rest.isEmpty():
-            return links
-        small = rest.where(F.col("n") <= SMALL_REST)
-        each = small.alias("x").join(small.alias("y"), "key").where("x.id < y.id and x.label <> y.label")
-        centred = rest.where((F.col("n") > SMALL_REST) & (F.col("id") != F.col("centre")))
-        centre_label = rest.where("id = centre").select("key", F.col("label").alias("centre_label"))
-        stars = centred.join(centre_label, "key").where("label <> centre_label")
-        pairs = (
-            each.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-            .union(stars.select("centre", "id")).distinct()
-            .join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        )
-        found = stored(_compare(docs, pairs, banding), "near-dup-compared")
-        compared = compared.union(found)
-        links = compared.where("similar").select("a", "b")
-        rest = centred.select("key", "id")
+    def centred(rows: DataFrame) -> DataFrame:
+        keys = rows.select("id", "left_key", F.posexplode("right").alias("j", "r"))
+        table_key = ["left_key", "j", "r"]
+        centres = keys.groupBy(*table_key).agg(F.min("id").alias("centre"), F.count("*").alias("n")).where("n > 1")
+        return keys.join(centres.drop("n"), table_key).where("id <> centre").select("centre", "id")
 
+    return centred(together).union(centred(apart)).distinct()
 
-def _compare(docs: DataFrame, pairs: DataFrame, banding: Banding) -> DataFrame:
-    """Pairs (a, b) with ``similar``: exact comparison of the whole sets."""
-    pairs = stored(pairs, "near-dup-pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    width, percent = banding.words, banding.percent
 
-    def sets():
+def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """The whole sets (id, n, items) of all documents that share a bucket with another."""
+    wanted = members.select("id").union(members.select("centre")).distinct()
+    chosen = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(
+        wanted.hint("merge"), "id", "left_semi"  # the ids grow with the corpus: never broadcast
+    )
+
+    def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [shingle_set(text, width) for text in texts(batch)]
+            found = [shingle_set(text, words) for text in texts(batch)]
             return pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(s) for s in found], pa.int64()),
+                batch.column("id"), pa.array([len(s) for s in found], pa.int64()),
                 pa.array([s.tobytes() for s in found], pa.binary()),
-            ], ["doc_id", "n", "items"])
+            ], ["id", "n", "items"])
         return step
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    with_sets = stored(over_batches(chosen, "doc_id long, n long, items binary", sets), "near-dup-items")
+    return over_batches(chosen, "id long, n long, items binary", start)
 
-    def side(name: str) -> DataFrame:
-        return with_sets.select(F.col("doc_id").alias(name), F.col("n").alias("n_" + name), F.col("items").alias("s_" + name))
 
+def _compare_with_centres(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between a bucket's centre a and its members."""
+    of_centre = sets.select(F.col("id").alias("centre"), F.col("n").alias("n_c"), F.col("items").alias("of_centre"))
     # Sizes alone rule a pair out when even full containment stays below the threshold.
-    sizes_allow = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    sizes_allow = 100 * F.least("n", "n_c") >= percent * F.greatest("n", "n_c")
     sized = (
-        pairs.join(side("a").drop("s_a"), "a").join(side("b").drop("s_b"), "b")
-        .where(sizes_allow).select("a", "b").distinct()
+        members.join(sets.select("id", "n"), "id").join(of_centre.drop("of_centre"), "centre")
+        .where(sizes_allow).select("centre", "id").distinct()
     )
-    joined = sized.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b")
+    joined = sized.join(sets, "id").join(of_centre, "centre").select("centre", "id", "items", "of_centre")
 
-    def intersect():
+    def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             similar = []
-            for one, other in zip(batch.column("s_a"), batch.column("s_b"), strict=True):
-                x = np.frombuffer(one.as_buffer(), np.uint64)
-                y = np.frombuffer(other.as_buffer(), np.uint64)
+            for one, other in zip(batch.column("items"), batch.column("of_centre"), strict=True):
+                x, y = (np.frombuffer(value.as_buffer(), np.uint64) for value in (one, other))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 similar.append(100 * both >= percent * (len(x) + len(y) - both))
-            return pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(similar, pa.bool_())], ["a", "b", "similar"]
-            )
+            found = pa.RecordBatch.from_arrays([batch.column("centre"), batch.column("id")], ["a", "b"])
+            return found.filter(pa.array(similar, pa.bool_()))
         return step
 
-    # Rows that share a doc_id can give a pair several verdicts; one similar row is enough.
-    return over_batches(joined, "a long, b long, similar boolean", intersect).groupBy("a", "b").agg(
-        F.max("similar").alias("similar")
+    return over_batches(joined, "a long, b long", start)
+
+
+def _compare_rest(members: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a centre that are still in different components.
+
+    Every member outside the centre's own component is compared with all members. Both sides
+    are dealt into blocks; a task takes one block of each, whatever the size of the group.
+    """
+    label = F.coalesce("label", "id").alias("label")
+    labelled = members.join(labels, "id", "left").select("centre", "id", label)
+    home = labels.select(F.col("id").alias("centre"), F.col("label").alias("home"))
+    labelled = labelled.join(home, "centre", "left").select(
+        "centre", "id", "label", (F.col("label") == F.coalesce("home", "centre")).alias("at_home")
+    )
+    sizes = (
+        labelled.groupBy("centre").agg(F.count("*").alias("n"), F.count_if(~F.col("at_home")).alias("n_away"))
+        .where("n > 1 and n_away > 0")
     )
 
+    def blocks(count):
+        return F.ceil(F.col(count) / BLOCK).cast("int")
+
+    open_groups = labelled.join(sizes, "centre").withColumn("rows", blocks("n_away")).withColumn("columns", blocks("n"))
+    with_sets = open_groups.join(sets.select("id", "items"), "id")
+
+    def dealt(side: DataFrame, own: str, other: str, asks: bool) -> DataFrame:
+        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
+        others = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        row, column = (mine, others) if asks else (others, mine)
+        return side.select("centre", row.alias("row"), column.alias("column"), F.lit(asks).alias("asks"), "id", "label", "items")
+
+    away = dealt(with_sets.where("not at_home"), "rows", "columns", True)
+    every = dealt(with_sets, "columns", "rows", False)
+
+    def links(group: pa.Table) -> pa.Table:
+        asks = group.column("asks")
+        return _block_links(group.filter(asks), group.filter(pc.invert(asks)), percent)
+
+    return away.union(every).groupBy("centre", "row", "column").applyInArrow(links, "a long, b long")
+
+
+def _block_links(one: pa.Table, other: pa.Table, percent: int) -> pa.Table:
+    """Links from rows of ``one`` to rows of ``other`` that join components with different labels."""
+    found: list[tuple[int, int]] = []
+    if one.num_rows and other.num_rows:
+        sets = [np.frombuffer(value.as_buffer(), np.uint64) for value in other.column("items")]
+        sizes = np.array([len(s) for s in sets])
+        items = np.concatenate(sets)
+        known, places = np.unique(items, return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        other_ids, other_labels = other.column("id").to_pylist(), other.column("label").to_pylist()
+        parent: dict[int, int] = {}
+
+        def root(label: int) -> int:
+            while parent.get(label, label) != label:
+                label = parent[label]
+            return label
+
+        for a, label, value in zip(one.column("id").to_pylist(), one.column("label").to_pylist(), one.column("items"), strict=True):
+            mine = np.frombuffer(value.as_buffer(), np.uint64)
+            at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+            flags = np.zeros(len(known), np.int64)
+            flags[at[known[at] == mine]] = 1
+            both = np.add.reduceat(flags[places], starts)
+            for k in np.flatnonzero(100 * both >= percent * (len(mine) + sizes - both)):
+                x, y = root(label), root(other_labels[k])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    found.append((a, other_ids[k]))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
 
 def components(links: DataFrame) -> DataFrame:
     """Rows (id, label): the smallest id reachable over links (a, b); ids without links are left out."""
