@@ -164,11 +164,9 @@ def irrigation_recommendation(unified: DataFrame, as_of=None) -> DataFrame:
 
 
 def readings_between(monitoring: DataFrame, start: str, end: str) -> DataFrame:
-    """Readings of the inclusive date range, newest first."""
+    """Readings of the inclusive date range, in no order."""
     day = F.to_date("reading_timestamp")
-    return monitoring.where(
-        day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    ).orderBy(F.desc("reading_timestamp"))
+    return monitoring.where(day.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
 def latest_reading(readings: DataFrame, *tie_break: str) -> DataFrame:

@@ -279,7 +279,7 @@ BODIES = {
     "scan_soil": "SELECT * FROM soil",
     "scan_crop_yield": "SELECT * FROM crop_yield",
     "csv_roundtrip": "SELECT * FROM flagged",
-    "sql_text_query": "SELECT * EXCLUDE (prediction_requested_at) FROM conditions",
+    "sql_text_query": "SELECT * EXCLUDE (prediction_requested_at) FROM conditions WHERE pesticide_intensity IS NOT NULL",
     "flatten_weather_json": _union(WEATHER_HOUR.format(s) for s in (0, 3600, 86400)),
     "flatten_soil_json": """
         SELECT make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS timestamp, value + 274 AS t_0_cm,
@@ -386,6 +386,9 @@ BODIES = {
         f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({a}, {b}), 6) AS correlation FROM training"
         for a in CORRELATED for b in CORRELATED
     ),
+    "sample_rows": """
+        SELECT l_orderkey, l_linenumber, crop_type, actual FROM predictions
+        ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, 42)) LIMIT 5""",
     "histogram_yield": histogram("target_yield", "training", 30),
     "latest_n": "SELECT * FROM stg_weather ORDER BY timestamp DESC, id DESC LIMIT 10",
     "latest_soil": "SELECT * FROM stg_soil ORDER BY timestamp DESC, id DESC LIMIT 10",

@@ -22,6 +22,7 @@ NUMERIC = [
     "target_yield", "year", "average_rainfall_mm_per_year", "pesticides_tonnes",
     "avg_temp", "yield_efficiency", "pesticide_intensity", "year_in_decade",
 ]
+# The column names that a correlation matrix is asked for.
 CORRELATED = [
     "target_yield", "yield_efficiency", "pesticide_intensity", "average_rainfall_mm_per_year", "avg_temp",
 ]
@@ -96,13 +97,8 @@ def parquet_roundtrip(spark, sf_dir):
 
 def sql_text_query(spark, sf_dir):
     conditions = reports.scenario_conditions(b.staged_crop_yield(spark, sf_dir), MONITORING_AS_OF)
-    query = """
-        SELECT area, crop_type, year, scenario, average_rainfall_mm_per_year, avg_temp,
-               pesticides_tonnes, pesticide_intensity, year_in_decade, era
-        FROM fct_current_conditions
-        WHERE year = 2025
-    """
-    return readers.load_from_query(spark, query, {"fct_current_conditions": conditions})
+    query = "SELECT * EXCEPT (prediction_requested_at) FROM coming_season WHERE pesticide_intensity IS NOT NULL"
+    return readers.load_from_query(spark, query, {"coming_season": conditions})
 
 
 def flatten_weather_json(spark, sf_dir):
@@ -247,15 +243,16 @@ def irrigation_recommendation(spark, sf_dir):
     return reports.irrigation(b.weather(spark, sf_dir), b.soil(spark, sf_dir), IRRIGATION_AS_OF)
 
 
+def _in_range(spark, sf_dir) -> DataFrame:
+    return reports.readings_in_range(b.weather(spark, sf_dir), b.soil(spark, sf_dir), *RANGE)
+
+
 def sensor_range(spark, sf_dir):
-    return sensors.readings_between(sensors.flag_readings(_unified(spark, sf_dir)), *RANGE)
+    return _in_range(spark, sf_dir)
 
 
 def latest_reading(spark, sf_dir):
-    flagged = sensors.flag_readings(_unified(spark, sf_dir))
-    return sensors.latest_reading(
-        sensors.readings_between(flagged, *RANGE), "air_temp", "humidity", "soil_moisture", "ph_surface"
-    )
+    return sensors.latest_reading(_in_range(spark, sf_dir), "air_temp", "humidity", "soil_moisture", "ph_surface")
 
 
 def active_alerts(spark, sf_dir):
@@ -269,8 +266,7 @@ def live_status(spark, sf_dir):
 
 
 def trend_series(spark, sf_dir):
-    flagged = sensors.flag_readings(_unified(spark, sf_dir))
-    return sensors.trend_series(sensors.readings_between(flagged, *RANGE))
+    return sensors.trend_series(_in_range(spark, sf_dir))
 
 
 # --- crops -------------------------------------------------------------------
@@ -420,7 +416,8 @@ def histogram_yield(spark, sf_dir):
 
 
 def sample_rows(spark, sf_dir):
-    return profile.sample_rows(_training(spark, sf_dir), 5)
+    keyed = b.predictions(spark, sf_dir).select(*PREDICTION_KEYS, "crop_type", "actual")
+    return profile.sample_rows(keyed, 5, PREDICTION_KEYS)
 
 
 def latest_n(spark, sf_dir):
@@ -628,7 +625,7 @@ SQL_QUERIES = [
     yield_by_crop_scenario, latest_predictions, prediction_errors, errors_by_crop, errors_by_year,
     error_distribution, error_thresholds, histogram_errors, worst_errors, regression_metrics,
     model_comparison, label_codes, encode_labels, decode_labels, train_test_split, split_counts,
-    standardize,
+    standardize, sample_rows,
 ]
 
 
@@ -645,5 +642,5 @@ def registered() -> dict:
         run.__name__, run.__doc__ = query.__name__, query.__doc__
         return run
 
-    everything = [*SQL_QUERIES, sample_rows, *STREAM_QUERIES, *LEARNING_QUERIES]
+    everything = [*SQL_QUERIES, *STREAM_QUERIES, *LEARNING_QUERIES]
     return {query.__name__: bound(query) for query in everything}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.functions.columns import truncate
+from fieldspark.functions.columns import timestamp_to_ns, truncate
 from fieldspark.operators import crops, quality, sensors, staging
 from fieldspark.operators.serving import latest_predictions
 
@@ -48,6 +48,18 @@ def live_status(weather: DataFrame, soil: DataFrame, start: str, end: str, as_of
     return sensors.active_alerts(sensors.latest_reading(in_range, *tie_break))
 
 
+def readings_in_range(weather: DataFrame, soil: DataFrame, start: str, end: str) -> DataFrame:
+    """Flagged readings of the inclusive date range; both bounds reach the raw scans.
+
+    Readings meet the soil record of their own day, so whole days of both tables are enough.
+    """
+    since = F.lit(start).cast("date").cast("timestamp_ntz")
+    beyond = F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz")
+    unified = unified_readings(weather.where(F.col("timestamp") < timestamp_to_ns(beyond)),
+                               soil.where(F.col("timestamp") < timestamp_to_ns(beyond)), since)
+    return sensors.readings_between(sensors.flag_readings(unified), start, end)
+
+
 def scenario_conditions(staged_yield: DataFrame, as_of=None) -> DataFrame:
     """Season scenarios per area and crop."""
     return crops.current_conditions(crops.base_scenarios(staged_yield), as_of)

@@ -35,9 +35,19 @@ def load_from_query(spark: SparkSession, query: str, tables: dict[str, DataFrame
     return spark.sql(query)
 
 
-def read_weather_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Landed weather documents, one JSON object per line or file record."""
-    return spark.read.schema(WEATHER_DOCUMENT).json(path)
+def read_weather_documents(spark: SparkSession, path: str, multi_line: bool = False, corrupt: str | None = None) -> DataFrame:
+    """Landed weather documents: one JSON object per line, or with ``multi_line`` per file."""
+    return _json(spark, path, WEATHER_DOCUMENT, multi_line, corrupt)
+
+
+def _json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool, corrupt: str | None) -> DataFrame:
+    """JSON by schema. A malformed document ends the job; with ``corrupt``, the name of a column more,
+    its text is kept there and its other columns are NULL, to be counted or put aside."""
+    reader = spark.read.option("multiLine", multi_line)
+    if corrupt is None:
+        return reader.schema(schema).option("mode", "FAILFAST").json(path)
+    kept = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    return reader.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).json(path)
 
 
 def flatten_weather(documents: DataFrame) -> DataFrame:
@@ -56,9 +66,9 @@ def flatten_weather(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_soil_records(spark: SparkSession, path: str) -> DataFrame:
-    """Landed soil records, one JSON object per line."""
-    return spark.read.schema(SOIL_RECORD).json(path)
+def read_soil_records(spark: SparkSession, path: str, multi_line: bool = False, corrupt: str | None = None) -> DataFrame:
+    """Landed soil records: one JSON object per line, or with ``multi_line`` per file."""
+    return _json(spark, path, SOIL_RECORD, multi_line, corrupt)
 
 
 def flatten_soil(records: DataFrame, normalize_units: bool = False) -> DataFrame:

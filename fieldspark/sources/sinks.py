@@ -8,6 +8,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldspark.session import stored
+
 WEATHER_KEY = ["latitude", "longitude", "timestamp"]
 NOTHING_COPIED = -1
 
@@ -43,14 +45,20 @@ def append_ignore_conflicts(
 ) -> None:
     """Append the rows whose key is in neither the table nor an earlier row of the batch.
 
-    The key holds a timestamp, so only table rows from the batch's own time span can
-    conflict; that span is pushed into the scan of the table.
+    The batch is stored without its repeats first, so that a source which cannot be read twice
+    the same way gives one set of rows. The key holds a timestamp: only table rows from the stored
+    batch's own time span can conflict, and that span is pushed into the scan of the table. Key columns
+    may not be NULL. Two writers at once are not safe: neither sees the other's rows.
     """
+    fresh = stored(without_conflicts(batch, None, keys, order_by), "append-batch")
+    if not fresh.where(" or ".join(f"`{key}` is null" for key in keys)).isEmpty():
+        raise ValueError(f"NULL in a key column of {keys}")
     existing = _read_if_present(batch.sparkSession, path)
     if existing is not None:
-        first, last = batch.agg(F.min(time_key), F.max(time_key)).first()
+        first, last = fresh.agg(F.min(time_key), F.max(time_key)).first()
         existing = existing.where(F.col(time_key).between(first, last))
-    append_rows(without_conflicts(batch, existing, keys, order_by), path)
+        fresh = fresh.join(existing.select(*keys), keys, "left_anti").select(*batch.columns)
+    append_rows(fresh, path)
 
 
 def read_cursor(spark: SparkSession, state_path: str, source: str) -> int:
@@ -91,9 +99,12 @@ def lower_case_columns(df: DataFrame) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, path: str, stamp: str = "prediction_date") -> None:
-    """Add a stamped batch below its own date folder, so the newest batch is a partition."""
+    """Add a stamped batch below its own date folder, so the newest batch is a partition.
+
+    A batch has one date, so every task writes one file and nothing is shuffled.
+    """
     dated = df.withColumn("snapshot_date", F.to_date(stamp))
-    append_rows(dated.hint("rebalance", "snapshot_date"), path, ["snapshot_date"])
+    append_rows(dated, path, ["snapshot_date"])
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -45,7 +45,9 @@ def test_profile_counts_nulls_and_distinct_values(spark):
 
 def test_sample_is_repeatable(spark):
     df = spark.range(100)
-    assert profile.sample_rows(df, 5, seed=1).collect() == profile.sample_rows(df, 5, seed=1).collect()
+    once = profile.sample_rows(df, 5, df.columns, seed=1).collect()
+    assert once == profile.sample_rows(df.repartition(7), 5, df.columns, seed=1).collect()
+    assert once != profile.sample_rows(df, 5, df.columns, seed=2).collect()
 
 
 def test_errors_guard_a_zero_actual(spark):

@@ -39,6 +39,15 @@ def test_pruned_scans_lose_no_rows(raw):
     assert pruned.exceptAll(whole).count() == 0
 
 
+def test_both_bounds_of_a_range_reach_both_raw_scans(spark, raw):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else the filters are cut off
+    text = plan(reports.readings_in_range(raw["weather"], raw["soil"], *q.RANGE))
+    for bound in ("GreaterThanOrEqual", "LessThan"):
+        assert len(re.findall(rf"PushedFilters: \[[^\]]*{bound}\(timestamp,(\d+)\)", text)) == 2
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "rangepartitioning" not in text
+
+
 def test_summary_reads_only_its_columns(raw):
     text = plan(reports.farm_summary(raw["weather"], raw["soil"]))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
@@ -64,6 +73,6 @@ def test_top_n_does_not_sort_everything(spark, sf_dir):
 
 
 def test_no_python_in_the_operators(spark, sf_dir):
-    for query in (q.daily_farm_summary, q.active_alerts, q.current_conditions, q.correlation_matrix):
+    for query in (q.daily_farm_summary, q.active_alerts, q.current_conditions, q.correlation_matrix, q.label_codes):
         text = plan(query(spark, sf_dir))
         assert "Python" not in text and "CartesianProduct" not in text and "BroadcastNestedLoop" not in text

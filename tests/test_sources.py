@@ -6,39 +6,52 @@ from datetime import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from fieldspark.operators import serving
 from fieldspark.sources import readers, schemas, sinks
 
 WEATHER = "id long, latitude double, longitude double, timestamp timestamp_ntz, temperature double"
 
 
 def test_weather_document_flattens_to_hours(spark, tmp_path):
-    hours = [
-        {"datetimeEpoch": 1758351600, "temp": 59.0, "humidity": 72.15, "solarradiation": 0.0, "pressure": 1013.9, "stations": ["X"]},
-        {"datetimeEpoch": 1758355200, "humidity": 74.18, "solarradiation": None, "pressure": 1014.0},
-    ]
-    document = {"latitude": 49.25, "longitude": -123.1, "timezone": "America/Vancouver",
-                "days": [{"datetime": "2025-09-20", "hours": hours}, {"hours": hours[:1]}, {"hours": []}]}
+    noon = {"datetimeEpoch": 1_600_000_200, "temp": 50.0, "humidity": 41.5, "solarradiation": 7.25, "pressure": 990.5, "more": [1]}
+    bare = {"datetimeEpoch": 1_600_003_800, "humidity": 43.0, "solarradiation": None}
+    document = {"latitude": 11.5, "longitude": 22.5, "days": [{"hours": [noon, bare]}, {"hours": [noon]}, {"hours": []}]}
     path = tmp_path / "document.json"
     path.write_text(json.dumps(document))
     rows = readers.flatten_weather(readers.read_weather_documents(spark, str(path))).collect()
-    assert len(rows) == 3
-    assert [tuple(r) for r in rows[:2]] == [
-        (49.25, -123.1, dt(2025, 9, 20, 7), 15.0, 72.15, 0.0, 1013.9),
-        (49.25, -123.1, dt(2025, 9, 20, 8), None, 74.18, None, 1014.0),
-    ]
+    first, second = dt(2020, 9, 13, 12, 30), dt(2020, 9, 13, 13, 30)
+    assert sorted(tuple(r) for r in rows if r.temperature) == [(11.5, 22.5, first, 10.0, 41.5, 7.25, 990.5)] * 2
+    assert [tuple(r) for r in rows if not r.temperature] == [(11.5, 22.5, second, None, 43.0, None, None)]
 
 
 def test_soil_record(spark, tmp_path):
-    record = {"dt": 1758672000, "t10": 294.923, "moisture": 0.129, "t0": 295.36}
-    record |= {key: 5.8 + i / 10 for i, key in enumerate(schemas.PH_DEPTHS)}
+    record = {"dt": 1_600_041_600, "t0": 283.15, "t10": 280.5, "moisture": 0.25}
+    record |= dict(zip(schemas.PH_DEPTHS, (6.75, 4.5, 5.25, 7.0, 6.0, 8.25), strict=True))
     path = tmp_path / "soil.json"
     path.write_text(json.dumps(record))
     records = readers.read_soil_records(spark, str(path))
     row = readers.flatten_soil(records).first()
-    assert (row.timestamp, row.t_0_cm, row.t_10_cm, row.moisture) == (dt(2025, 9, 24), 295.36, 294.923, 0.129)
-    assert (row.ph_0_5cm, row.ph_100_200cm) == (5.8, 6.3)
+    assert (row.timestamp, row.t_0_cm, row.t_10_cm, row.moisture) == (dt(2020, 9, 14), 283.15, 280.5, 0.25)
+    assert (row.ph_0_5cm, row.ph_5_15cm, row.ph_100_200cm) == (6.75, 4.5, 8.25)
     normal = readers.flatten_soil(records, normalize_units=True).first()
-    assert normal.t_0_cm == pytest.approx(22.21) and normal.moisture == pytest.approx(12.9)
+    assert normal.t_0_cm == pytest.approx(10.0) and normal.moisture == pytest.approx(25.0)
+
+
+def test_corrupt_and_spread_out_documents(spark, tmp_path):
+    folder = tmp_path / "landed"
+    folder.mkdir()
+    (folder / "good.json").write_text(json.dumps({"dt": 1_600_041_600, "t0": 283.15}, indent=2))
+    (folder / "bad.json").write_text('{"dt": 16')
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        readers.read_soil_records(spark, str(folder), multi_line=True).collect()
+    kept = readers.read_soil_records(spark, str(folder), multi_line=True, corrupt="broken").cache()
+    assert {(r.t0, r.broken) for r in kept.collect()} == {(283.15, None), (None, '{"dt": 16')}
+
+
+def test_null_keys_are_refused(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None, 2.0, dt(2025, 1, 1), 3.0)], WEATHER)
+    with pytest.raises(ValueError, match="NULL"):
+        sinks.append_ignore_conflicts(rows, str(tmp_path / "table"))
 
 
 def weather(spark, rows):
@@ -76,8 +89,9 @@ def test_snapshots_lie_below_their_date(spark, tmp_path):
     for day in (1, 2):
         batch = spark.range(3).withColumn("prediction_date", F.lit(dt(2025, 1, day, 6)).cast("timestamp_ntz"))
         sinks.write_snapshot(batch, path)
-    newest = spark.read.parquet(path).where("snapshot_date = date'2025-01-02'")
+    newest = serving.latest_predictions(spark.read.parquet(path))
     assert newest.count() == 3
+    # The folder of the newest date is picked by a partition filter.
     assert "PartitionFilters: [isnotnull(snapshot_date" in newest._jdf.queryExecution().toString()
 
 
