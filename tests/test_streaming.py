@@ -9,6 +9,7 @@ import compare
 from fieldspark.functions.columns import truncate
 from fieldspark.operators import sensors, staging
 from fieldspark.plans import bindings as b
+from fieldspark.plans.queries import SINGLE_PRECISION
 from fieldspark.streaming import jobs
 
 
@@ -55,7 +56,9 @@ def test_daily_roll_up_in_batches_equals_the_batch_form(spark, sf_dir, arriving,
     unified = jobs.unified_stream(stream(spark, arriving), soil_daily)
     rolled = jobs.replace_available(jobs.daily_stream(unified), str(tmp_path / "out"), str(tmp_path / "p"))
     batch = sensors.daily_conditions(sensors.unify_readings(b.staged_weather(spark, sf_dir), soil_daily))
-    assert rows(rolled) == rows(batch)
+    # Means differ in their last bits with the order of arrival.
+    means = {name: F.col(name).cast("float") for name in SINGLE_PRECISION["daily_conditions"]}
+    assert rows(rolled.withColumns(means)) == rows(batch.withColumns(means))
 
 
 def test_append_mode_closes_all_but_the_last_windows(spark, arriving, soil_daily, tmp_path):
