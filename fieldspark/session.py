@@ -53,8 +53,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/fieldspark/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in the application's own part of the shared folder.
+
+    That part is removed when the application's JVM ends; results to keep go elsewhere.
+    """
+    context = spark.sparkContext
+    root = f"{shared_dir(spark).rstrip('/')}/fieldspark-{context.applicationId}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df):
