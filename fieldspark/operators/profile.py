@@ -92,9 +92,12 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
-    """``n`` random rows, the same ones for the same keys and seed however the rows are spread."""
+    """``n`` random rows, the same ones for the same keys and seed however the rows are spread.
+
+    Rows that share their keys follow each other by all columns.
+    """
     turn = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))).cast("binary"))
-    return df.orderBy(turn, *keys).limit(n)
+    return df.orderBy(turn, *df.columns).limit(n)
 
 
 def latest_n(df: DataFrame, n: int, *order: str) -> DataFrame:

@@ -388,7 +388,7 @@ BODIES = {
     ),
     "sample_rows": """
         SELECT l_orderkey, l_linenumber, crop_type, actual FROM predictions
-        ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, 42)) LIMIT 5""",
+        ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, 42)), crop_type, actual LIMIT 5""",
     "histogram_yield": histogram("target_yield", "training", 30),
     "latest_n": "SELECT * FROM stg_weather ORDER BY timestamp DESC, id DESC LIMIT 10",
     "latest_soil": "SELECT * FROM stg_soil ORDER BY timestamp DESC, id DESC LIMIT 10",
