@@ -32,6 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldspark.llm.common import over_batches, texts, window_hashes, word_hashes
@@ -169,13 +170,17 @@ def _members(classes: DataFrame) -> DataFrame:
     together = packed.join(crowded, "left_key", "left_anti").repartition("left_key")
     apart = packed.join(crowded, "left_key", "left_semi")
 
-    def centred(rows: DataFrame) -> DataFrame:
-        keys = rows.select("id", "left_key", F.posexplode("right").alias("j", "r"))
-        table_key = ["left_key", "j", "r"]
-        centres = keys.groupBy(*table_key).agg(F.min("id").alias("centre"), F.count("*").alias("n")).where("n > 1")
-        return keys.join(centres.drop("n"), table_key).where("id <> centre").select("centre", "id")
+    table_key = ["left_key", "j", "r"]
 
-    return centred(together).union(centred(apart)).distinct()
+    def unfolded(rows: DataFrame) -> DataFrame:
+        return rows.select("id", "left_key", F.posexplode("right").alias("j", "r"))
+
+    # A left tuple's rows are together already and no more than CROWDED, so a window finds the centres in place.
+    few = unfolded(together).withColumn("centre", F.min("id").over(W.partitionBy(*table_key)))
+    keys = unfolded(apart)
+    centres = keys.groupBy(*table_key).agg(F.min("id").alias("centre"), F.count("*").alias("n")).where("n > 1")
+    many = keys.join(centres.drop("n"), table_key)
+    return few.select("centre", "id").union(many.select("centre", "id")).where("id <> centre").distinct()
 
 
 def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
