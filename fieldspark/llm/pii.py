@@ -10,7 +10,8 @@ is one-to-one and equal values get equal pseudonyms in all documents, whatever t
     ip       four numbers up to 255: the 2^32 addresses
     date     a day from 1830 to 2129 as y-m-d, y/m/d, d.m.y or m/d/y; moves within its century
     email    letters and digits before the top-level domain, class by class
-    secret   32 to 64 hexadecimal digits, at least one of them a decimal digit
+    secret   32 to 64 hexadecimal digits, letters all lower or all upper case, at least one of them a
+             decimal digit; the case stays, and both spellings of a value are linked
 
 Numbers go through a network on Z_a x Z_b with a * b values: 10^n digits as two halves, 2^16 x 2^16
 addresses, 75 x 487 = 36,525 days of a century; so no step is ever repeated to stay inside a
@@ -37,7 +38,7 @@ ROUNDS = 10
 # The patterns of personal data, in the order in which they are tried.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}",
-    "secret": r"(?<![A-Za-z0-9])[0-9a-f]{32,64}+(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}+|[0-9A-F]{32,64}+)(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "date": r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])",
     "phone": r"\+(?:[0-9]{8,15}|[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?|[0-9]{1,4}[ .-])?[0-9]{2,4}[ .-]?[0-9]{3,4})(?![0-9])"
@@ -57,7 +58,7 @@ HEX = {"[0-9a-f]": "0123456789abcdef"}
 
 _ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 # A text without any of these characters in a row cannot hold a match; checked first, being cheap.
-_HINT = r"@|[0-9]{2}|[0-9a-f]{32}|[0-9]\."
+_HINT = r"@|[0-9]{2}|[0-9a-f]{32}|[0-9A-F]{32}|[0-9]\."
 _CENTURY, _FIRST_DAY = 36_525, -14_610  # days from 1930 to 2029; 1930-01-01 as days since 1970
 
 
@@ -97,7 +98,7 @@ def pseudonym(value: Column, key: str) -> Column:
 
     return (
         F.when(is_kind("email"), _email(value, key))
-        .when(is_kind("secret"), F.when(value.rlike("[0-9]"), _string(value, HEX, key, "secret")).otherwise(value))
+        .when(is_kind("secret"), F.when(value.rlike("[0-9]"), _secret(value, key)).otherwise(value))
         .when(is_kind("ip"), _ip(value, key))
         .when(is_kind("date"), _date(value, key))
         .when(is_kind("phone"), _phone(value, key))
@@ -231,6 +232,11 @@ def _email(value: Column, key: str) -> Column:
     return F.concat(_string(named, ALPHABETS, key, "email"), kept)
 
 
+def _secret(value: Column, key: str) -> Column:
+    moved = _string(F.lower(value), HEX, key, "secret")
+    return F.when(value.rlike("[A-F]"), F.upper(moved)).otherwise(moved)
+
+
 def _string(value: Column, alphabets: dict[str, str], key: str, kind: str) -> Column:
     """Keyed permutation of strings that moves each character within its own alphabet."""
     def moved(chars: Column, other: Column, turn: Column) -> Column:

@@ -331,3 +331,19 @@ def test_no_planted_value_is_left(spark, sf_dir):
         values = {v for kind in kinds for v in re.findall(kind, before[row.doc_id] or "") if not v.isdigit() or luhn(v)}
         assert not [v for v in values if v in row.text]
         assert values or row.text == before[row.doc_id]
+
+
+def test_secrets_of_both_cases_are_replaced_and_linked(spark):
+    token = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+    upper, lower = replaced(spark, [f'TOKEN = "{token}"', f'TOKEN = "{token.lower()}"'])
+    assert re.fullmatch('TOKEN = "[0-9A-F]{40}"', upper) and token not in upper
+    assert lower[9:-1] == upper[9:-1].lower()
+
+
+def test_no_planted_secret_of_either_case_is_left(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text rlike '[0-9a-f]{40}|[0-9A-F]{40}'").select("doc_id", "text")
+    before = {r.doc_id: r.text for r in docs.collect()}
+    assert {2514, 8743} <= before.keys()
+    for row in pii.pseudonymise(docs, "k").collect():
+        values = re.findall(r"\b(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})\b", before[row.doc_id])
+        assert not [v for v in values if re.search("[0-9]", v) and v in row.text]
