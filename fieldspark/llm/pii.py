@@ -5,10 +5,12 @@ of value is permuted by a Feistel network on its own domain, keyed by a secret,
 is one-to-one and equal values get equal pseudonyms in all documents, whatever their separators:
 
     card     13 to 19 digits that pass the Luhn check; the check digit is made anew
-    phone    + and 8 to 15 digits, or ten digits in the 3-3-4 layout; the country code stays
+    phone    + and 8 to 15 digits in any groups, or 6 and 7 in a few layouts, or ten digits in the 3-3-4
+             layout; the country code and a trunk zero in brackets stay
     id       3-2-4 digits of an identity number in use; its groups stay
     ip       four numbers up to 255: the 2^32 addresses
-    date     a day from 1830 to 2129 as y-m-d, y/m/d, d.m.y or m/d/y; moves within its century
+    date     a day from 1830 to 2129 as y-m-d, y/m/d, d.m.y, m/d/y, or d/m/y where m/d/y is no day; moves
+             within its century
     email    letters and digits before the top-level domain, class by class
     secret   32 to 64 hexadecimal digits, letters all lower or all upper case, at least one of them a
              decimal digit; the case stays, and both spellings of a value are linked
@@ -35,30 +37,47 @@ from pyspark.sql import functions as F
 
 ROUNDS = 10
 
+# Between two digits of a phone number: nothing, one separator, or a bracket of a closed pair.
+_GAP = r"(?:[ .-]?\((?=[0-9]{1,5}\))|(?<=\([0-9]{1,5})\)[ .-]?|[ .-])?"
+# What ends a number of at least eight digits before a space: a value of another kind.
+_ENDS = (
+    r"(?! (?:[0-9]*[A-Za-z@/]|[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
+    r"|[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
+    r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])))"
+)
+# A trunk zero, dialled only inside the country: +49 (0)30.
+_TRUNK = r"(?:[ .-]?\(0\)[ .-]?)?"
+
 # The patterns of personal data, in the order in which they are tried.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}+|[0-9A-F]{32,64}+)(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "date": r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])",
-    "phone": r"\+(?:[0-9]{8,15}|[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?|[0-9]{1,4}[ .-])?[0-9]{2,4}[ .-]?[0-9]{3,4})(?![0-9])"
+    # Plans of one length first, so that a number after them is left alone; then the longest run of whole
+    # groups, 8 to 15 digits; then short numbers.
+    "phone": rf"\+(?:(?:[17](?:{_GAP}[0-9]){{10}}|91{_TRUNK}(?:{_GAP}[0-9]){{10}}|3[34]{_TRUNK}(?:{_GAP}[0-9]){{9}})(?![0-9])"
+             rf"|[0-9](?:{_GAP}[0-9]){{7}}(?:{_ENDS}{_GAP}[0-9]){{0,7}}(?![0-9])"
+             r"|[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?|[0-9]{1,4}[ .-])?[0-9]{2,4}[ .-]?[0-9]{3,4}(?![0-9]))"
              r"|(?<![0-9])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "id": r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])",
 }
 DATE_LAYOUTS = {
-    r"^.{4}-": "yyyy-MM-dd",
-    r"^.{4}/": "yyyy/MM/dd",
-    r"^.{2}\.": "dd.MM.yyyy",
-    r"^.{2}/": "MM/dd/yyyy",
+    r"^.{4}-": ("yyyy-MM-dd",),
+    r"^.{4}/": ("yyyy/MM/dd",),
+    r"^.{2}\.": ("dd.MM.yyyy",),
+    r"^.{2}/": ("MM/dd/yyyy", "dd/MM/yyyy"),
 }
+# Country codes; no one begins another.
+COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 ALPHABETS = {"[0-9]": "0123456789", "[a-z]": "abcdefghijklmnopqrstuvwxyz", "[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 HEX = {"[0-9a-f]": "0123456789abcdef"}
 # End of fixed values.
 
 _ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 # A text without any of these characters in a row cannot hold a match; checked first, being cheap.
-_HINT = r"@|[0-9]{2}|[0-9a-f]{32}|[0-9A-F]{32}|[0-9]\."
+_HINT = r"@|[0-9]{2}|[0-9a-f]{32}|[0-9A-F]{32}|[0-9]\.|\+[0-9]"
 _CENTURY, _FIRST_DAY = 36_525, -14_610  # days from 1930 to 2029; 1930-01-01 as days since 1970
 
 
@@ -174,11 +193,13 @@ def _card(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    # The country code: digits up to a separator, or the first two.
-    code = F.regexp_extract(value, r"^\+(?:[0-9]{1,3}(?=[^0-9])|[0-9]{2})", 0)
-    code_digits = _digits(code)
-    rest = F.substr(_digits(value), F.length(code_digits) + 1, F.lit(18))
-    return _refilled(value, F.concat(code_digits, _permuted_digits(rest, key, "phone")))
+    # The country code, by the digits alone so that separators do not matter, and a trunk zero stay.
+    digits = _digits(value)
+    code = F.when(value.startswith("+"), F.regexp_extract(digits, COUNTRY, 0)).otherwise("")
+    trunk = F.when(value.rlike(r"^\+[0-9]{1,3}[ .-]?\(0\)"), "0").otherwise("")
+    kept = F.concat(code, trunk)
+    rest = F.substr(digits, F.length(kept) + 1, F.lit(18))
+    return _refilled(value, F.concat(kept, _permuted_digits(rest, key, "phone")))
 
 
 def _identity(value: Column, key: str) -> Column:
@@ -215,14 +236,17 @@ def _ip(value: Column, key: str) -> Column:
 
 
 def _date(value: Column, key: str) -> Column:
-    result = value
-    for shape, layout in DATE_LAYOUTS.items():
+    def moved(layout: str) -> Column:
         days = F.unix_date(F.try_to_date(value, layout)).cast("long")
         place = F.pmod(days - _FIRST_DAY, F.lit(_CENTURY))
-        moved = days - place + permuted(place, F.lit(75).cast("long"), F.lit(487).cast("long"), key, "date")
+        new = days - place + permuted(place, F.lit(75).cast("long"), F.lit(487).cast("long"), key, "date")
         in_use = (days >= _FIRST_DAY - _CENTURY) & (days < _FIRST_DAY + 2 * _CENTURY)
-        written = F.date_format(F.date_from_unix_date(moved.cast("int")), layout)
-        result = F.when(value.rlike(shape), F.when(in_use, written).otherwise(value)).otherwise(result)
+        return F.when(in_use, F.date_format(F.date_from_unix_date(new.cast("int")), layout))
+
+    result = value
+    for shape, layouts in DATE_LAYOUTS.items():
+        # The first layout in which the value is a day.
+        result = F.when(value.rlike(shape), F.coalesce(*[moved(layout) for layout in layouts], value)).otherwise(result)
     return result
 
 

@@ -347,3 +347,32 @@ def test_no_planted_secret_of_either_case_is_left(spark):
     for row in pii.pseudonymise(docs, "k").collect():
         values = re.findall(r"\b(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})\b", before[row.doc_id])
         assert not [v for v in values if re.search("[0-9]", v) and v in row.text]
+
+
+def test_phones_in_all_groupings_are_replaced_whole_and_linked(spark):
+    same = [
+        ["+91 98765 43210", "+919876543210", "+91-98765-43210"], ["+33 6 12 34 56 78", "+33612345678", "+33 (0)6 12 34 56 78", "+33.6.12.34.56.78"],
+        ["+33 1 23 45 67 89", "+33123456789"], ["+49 (0)30 1234567", "+49 30 1234567", "+49301234567", "+49 (30) 123-4567"],
+        ["+1 (132) 555-1352", "+11325551352", "+1 132 555 1352"], ["+353 1 234 5678", "+35312345678"], ["+49 170 1234567", "+49 170 12 34 567"],
+    ]
+    given = [value for values in same for value in values]
+    found = dict(zip(given, replaced(spark, given), strict=True))
+    for values in same:
+        for value in values:
+            assert re.sub("[0-9]", "9", found[value]) == re.sub("[0-9]", "9", value)
+            assert value.replace("(0)", "")[-7:] != found[value].replace("(0)", "")[-7:]
+        assert len({re.sub("[^0-9]", "", found[value].replace("(0)", "")) for value in values}) == 1
+    # Values beside a phone number are found as without it.
+    others = ["31/12/1984", "1984-12-31", "4952 9359 0025 3052", "123-45-6789", "126.40.69.100", "34@mail7.example.com", "(132) 555-1352"]
+    for phone in ("+49 30 1234567", "+33 6 12 34 56 78", "+1 (132) 555-1352"):
+        own = replaced(spark, [phone, *others])
+        assert replaced(spark, [f"{phone} {other}" for other in others]) == [f"{own[0]} {other}" for other in own[1:]]
+    assert replaced(spark, ["+1 (132) 555-1352 2020"])[0].endswith(" 2020")
+
+
+def test_day_first_dates_with_slashes_move_like_others(spark):
+    day_first, iso, month_first, dotted = replaced(spark, ["31/12/1984", "1984-12-31", "12/31/1984", "31.12.1984"])
+    assert day_first != "31/12/1984" and day_first.replace("/", ".") == dotted
+    year, month, day = iso.split("-")
+    assert day_first == f"{day}/{month}/{year}" and month_first == f"{month}/{day}/{year}"
+    assert replaced(spark, ["31/02/1984", "32/12/1984"]) == ["31/02/1984", "32/12/1984"]
