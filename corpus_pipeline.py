@@ -4,9 +4,10 @@ Each stage takes (spark, docs, sf_dir) and gives the columns of ``documents``, t
 digests of the encoded texts. ``run`` writes the result of each stage as Parquet into the shared
 folder and hands the reread table to the next, so that a lost executor costs no finished stage.
 
-Defined cases: NULL and empty texts have no language and leave in the first stage. Rows that share
-a doc_id leave one row in the second, the first by text. Empty tables stay empty. Columns beyond
-those of ``documents`` are dropped by the first stage.
+Defined cases: NULL and empty texts have no language and leave in the first stage. Each row is
+judged by its own text, also where rows share a doc_id; rows equal in all columns leave one in the
+second stage. A NULL doc_id takes no part in that stage and stays. Empty tables stay empty. Columns
+beyond those of ``documents`` are dropped by the first stage.
 """
 
 from __future__ import annotations
@@ -31,20 +32,24 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Keep documents with a recognisable language."""
     docs = docs.select(*COLUMNS)
     field = language.fit_languages(docs)
-    ids = language.predict_languages(docs.where("doc_id is not null"), field).where(
+    return language.with_languages(docs, field).where(
         (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    )
-    # Predictions are small rows; the texts meet them by doc_id.
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    ).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group: the smallest doc_id."""
-    kept = near_dups.near_duplicates(docs, near_dups.Banding()).where("kept").select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi")
-    # Rows of one doc_id are the same document; they are together by now.
-    one = chosen.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row"))
-    return one.select("doc_id", "row.*").select(*COLUMNS)
+    """Keep one row of each group: the one with the smallest doc_id."""
+    # A doc_id may be shared by different rows: a hash of the row tells them apart. Only equal rows
+    # share it, and those are one document.
+    keyed = docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("row_key"))
+    known = keyed.where("doc_id is not null")
+    verdicts = near_dups.near_duplicates(known.select(F.col("row_key").alias("doc_id"), "text"), near_dups.Banding())
+    groups = verdicts.select(F.col("doc_id").alias("row_key"), "component_id").distinct()
+    first = known.select("row_key", "doc_id").distinct().join(groups, "row_key").groupBy("component_id").agg(
+        F.min(F.struct("doc_id", "row_key")).alias("first")
+    )
+    chosen = known.join(first.select("first.row_key"), "row_key", "left_semi").dropDuplicates(["row_key", *COLUMNS])
+    return chosen.select(*COLUMNS).union(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def pseudonymise_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # What separates words everywhere in this subpackage: space and the control characters 9 to 13.
 # bytes.split() without arguments separates at exactly these.
@@ -34,7 +35,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def over_batches(
-    df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
+    df: DataFrame, schema: str | StructType, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
     rows: int = SLICE,
 ) -> DataFrame:
     """Run a batch function over a DataFrame's Arrow batches; ``start`` makes it once per task.

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from fieldspark.llm.common import hashed_share, over_batches, texts
 
@@ -265,6 +266,26 @@ def predict_languages(docs: DataFrame, field: Field | None) -> DataFrame:
     return over_batches(columns, "doc_id long, lang_pred string, score double", start)
 
 
+def with_languages(docs: DataFrame, field: Field | None) -> DataFrame:
+    """All columns of ``docs``, row by row, then lang_pred and score as predicted."""
+    if field is None:
+        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+
+    def start():
+        scorer = _Scorer(shared.value)
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            labels, scores = scorer.predict(texts(batch))
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], schema.names
+            )
+        return step
+
+    return over_batches(docs, schema, start)
+
+
 class _Scorer:
     """Predictions of a task; emission weights are kept by word type."""
 

@@ -56,3 +56,16 @@ def test_awkward_and_empty_tables(spark, sf_dir):
 def test_repeated_rows_leave_one(spark, sf_dir):
     docs = helpers.awkward(spark).select(*corpus_pipeline.COLUMNS).where("doc_id in (6, 8, 9)")
     assert [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).collect()] == [6]
+
+
+def test_rows_are_judged_by_their_own_text(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = [r.text for r in docs.where("lang = 'en' and length(text) between 300 and 3000").orderBy("doc_id").limit(3).collect()]
+    own = [(None, texts[0], "en", "s", 1), (-5, texts[1], "en", "s", 2), (-5, texts[2], "en", "s", 3), (-5, "7 % 12", "en", "s", 4), (None, "12", "en", "s", 5)]
+    given = docs.unionByName(spark.createDataFrame(own, docs.schema))
+    kept = corpus_pipeline.identify_language(spark, given, sf_dir).where("doc_id is null or doc_id < 0").collect()
+    assert Counter(tuple(r) for r in kept) == Counter(own[:3])
+    # Beside them a near copy of a higher id, and a repeated row.
+    rows = [*own[:3], own[1], (9, texts[2] + " end", "en", "s", 6)]
+    left = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, docs.schema), sf_dir).collect()
+    assert Counter(tuple(r) for r in left) == Counter(own[:3])
