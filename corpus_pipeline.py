@@ -23,8 +23,9 @@ from fieldspark.session import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-# A document stays if its words agree on one language at least this far: the mean probability of
-# the predicted label over its words.
+# A document stays if its words are recognised at least this far: the mean over its words of each
+# word's own highest probability, so that texts in several languages stay. If no language can be
+# learned, every text with letters stays.
 MIN_LANGUAGE_SCORE = 0.5
 
 
@@ -32,9 +33,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Keep documents with a recognisable language."""
     docs = docs.select(*COLUMNS)
     field = language.fit_languages(docs)
-    return language.with_languages(docs, field).where(
-        (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    ).select(*COLUMNS)
+    judged = language.with_languages(docs, field)
+    return judged.where(F.col("certainty").isNull() | (F.col("certainty") >= MIN_LANGUAGE_SCORE)).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

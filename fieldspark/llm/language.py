@@ -267,19 +267,26 @@ def predict_languages(docs: DataFrame, field: Field | None) -> DataFrame:
 
 
 def with_languages(docs: DataFrame, field: Field | None) -> DataFrame:
-    """All columns of ``docs``, row by row, then lang_pred and score as predicted."""
+    """All columns of ``docs``, row by row, then lang_pred and score as predicted, and certainty.
+
+    ``certainty`` is the mean over the words of each word's own highest probability, whatever its
+    label: a text in several languages can be certain where no label has a high mean. It is 0 for a
+    text without letters, and NULL without a field where there are letters.
+    """
     if field is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        none = F.when(~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)), 0.0)
+        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "certainty": none})
     shared = docs.sparkSession.sparkContext.broadcast(field)
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), *(StructField(name, DoubleType()) for name in ("score", "certainty"))])
 
     def start():
         scorer = _Scorer(shared.value)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            labels, scores = scorer.predict(texts(batch))
+            labels, scores, certainties = scorer.judge(texts(batch))
             return pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], schema.names
+                [*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64()), pa.array(certainties, pa.float64())],
+                schema.names,
             )
         return step
 
@@ -313,17 +320,21 @@ class _Scorer:
         self.emissions = np.concatenate([self.emissions, *rows])
 
     def predict(self, batch: Iterable[str | None]) -> tuple[list[str], list[float]]:
-        labels, scores, pending, waiting = [], [], [], 0
+        return self.judge(batch)[:2]
+
+    def judge(self, batch: Iterable[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Labels, scores and certainties."""
+        labels, scores, certainties, pending, waiting = [], [], [], [], 0
         for text in batch:
             pending.append(words_of(text))
             waiting += len(pending[-1])
             if waiting >= TOGETHER:
-                self._run(pending, labels, scores)
+                self._run(pending, labels, scores, certainties)
                 pending, waiting = [], 0
-        self._run(pending, labels, scores)
-        return labels, scores
+        self._run(pending, labels, scores, certainties)
+        return labels, scores, certainties
 
-    def _run(self, documents: list[list[str]], labels: list[str], scores: list[float]) -> None:
+    def _run(self, documents: list[list[str]], labels: list[str], scores: list[float], certainties: list[float]) -> None:
         new = {word for words in documents for word in words if word not in self.types}
         if len(self.types) + len(new) > KEPT:
             self.forget()
@@ -332,17 +343,20 @@ class _Scorer:
             self.learn(sorted(new))
         # Characters that are numerals, not letters, also make words; such words alone are no text.
         used = [k for k, words in enumerate(documents) if any(c.isalpha() for word in words for c in word)]
-        best: dict[int, tuple[str, float]] = {}
+        best: dict[int, tuple[str, float, float]] = {}
         if used:
             lengths = np.array([len(documents[k]) for k in used])
             of_type = self.types.__getitem__
             at = np.fromiter((of_type(w) for k in used for w in documents[k]), np.int64, int(lengths.sum()))
             found, _ = posteriors(self.emissions[at], lengths, self.transitions)
-            means = np.add.reduceat(found, np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
+            starts = np.cumsum(lengths) - lengths
+            means = np.add.reduceat(found, starts, axis=0) / lengths[:, None]
+            certain = np.add.reduceat(found.max(axis=1), starts) / lengths
             top = means.argmax(axis=1)
             for row, k in enumerate(used):
-                best[k] = self.field.labels[top[row]], min(1.0, float(means[row, top[row]]))
+                best[k] = self.field.labels[top[row]], min(1.0, float(means[row, top[row]])), min(1.0, float(certain[row]))
         for k in range(len(documents)):
-            label, score = best.get(k, (UNKNOWN, 0.0))
+            label, score, certainty = best.get(k, (UNKNOWN, 0.0, 0.0))
             labels.append(label)
             scores.append(score)
+            certainties.append(certainty)

@@ -69,3 +69,18 @@ def test_rows_are_judged_by_their_own_text(spark, sf_dir):
     rows = [*own[:3], own[1], (9, texts[2] + " end", "en", "s", 6)]
     left = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, docs.schema), sf_dir).collect()
     assert Counter(tuple(r) for r in left) == Counter(own[:3])
+
+
+def test_texts_in_several_languages_stay(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    words = {}
+    for r in docs.where("length(text) between 1000 and 5000").orderBy("doc_id").collect():
+        words.setdefault(r.lang, r.text.split()[:60])
+    parts = [own for _, own in sorted(words.items()) if len(own) == 60][:3]
+    assert len(parts) == 3
+    own = [(-2, " ".join(parts[0] + parts[1]), None, "s", 1), (-3, " ".join(sum(parts, [])), None, "s", 2), (-4, "12 %", None, "s", 3)]
+    mixed = spark.createDataFrame(own, docs.schema)
+    kept = corpus_pipeline.identify_language(spark, docs.unionByName(mixed), sf_dir).where("doc_id < 0").collect()
+    assert sorted(r.doc_id for r in kept) == [-3, -2]
+    # Without any lang to learn from, texts with letters stay.
+    assert sorted(r.doc_id for r in corpus_pipeline.identify_language(spark, mixed, sf_dir).collect()) == [-3, -2]
