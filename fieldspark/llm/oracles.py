@@ -89,6 +89,50 @@ WITH parts AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+# CRC-32 of a text of ASCII characters: a character is taken in, then eight bits are shifted out.
+CRC32 = """xor(list_reduce(flatten([[256 + ascii(c), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split({text}, '')]),
+    lambda crc, step: CASE WHEN step > 0 THEN xor(crc, step - 256)
+      ELSE xor(crc >> 1, CASE WHEN crc & 1 = 1 THEN 3988292384 ELSE 0 END) END, 4294967295::BIGINT), 4294967295)"""
+
+OP13 = """
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, CRC % 9 AS h FROM (SELECT DISTINCT c, c::VARCHAR AS digits FROM turns)
+), rebuilt AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS pos, role, text FROM (
+    SELECT v.c, 0 AS own, t.pos, role, text FROM convs v JOIN turns t ON t.c = v.c - v.c % 5 AND t.pos <= v.h
+    UNION ALL
+    SELECT v.c, 1, t.pos, role, text FROM convs v JOIN turns t ON t.c = v.c AND t.pos > v.h)
+), steps AS (
+  SELECT c, pos, role, text, sha256(string_agg(sha256(role || chr(10) || text), '' ORDER BY pos) OVER prefix) AS node,
+    sha256(string_agg(sha256(role || chr(10) || text), '' ORDER BY pos) OVER before) AS parent
+  FROM rebuilt
+  WINDOW prefix AS (PARTITION BY c ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    before AS (PARTITION BY c ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), at_nodes AS (
+  SELECT c, 0 AS depth, 'root' AS node, NULL AS parent, 0 AS bytes FROM convs
+  UNION ALL SELECT c, pos, node, coalesce(parent, 'root'), strlen(text) FROM steps
+), ends AS (
+  SELECT node, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends_sha256
+  FROM (SELECT c, arg_max(node, depth) AS node FROM at_nodes GROUP BY c) GROUP BY node
+), nodes AS (
+  SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes
+  FROM at_nodes GROUP BY node
+), families AS (
+  SELECT n.*, (SELECT count(*) FROM nodes k WHERE k.parent = n.node) AS n_children FROM nodes n
+), below AS (
+  -- A node is below another if the other lies on the way of its smallest member.
+  SELECT w.node, count(*) FILTER (d.n_children = 0) AS n_leaves, sum((d.n_convs - 1) * d.bytes) AS saved_tokens
+  FROM families d JOIN at_nodes w ON w.c = d.conv_id AND w.depth <= d.depth GROUP BY w.node
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens,
+  coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM families n LEFT JOIN nodes p ON p.node = n.parent JOIN below b ON b.node = n.node LEFT JOIN ends e ON e.node = n.node
+""".replace("CRC", CRC32.format(text="digits"))
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mixing": OP4, "op5_minhash_near_dedup": OP5, "op9_exact_top_k": OP9}
+    return {"op4_source_mixing": OP4, "op5_minhash_near_dedup": OP5, "op9_exact_top_k": OP9, "op13_prefix_trie": OP13}

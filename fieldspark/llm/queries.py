@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm import (
-    language, mixing, near_dups, pii, quality, sentencepiece_codec, token_counts, token_files, topk, toxicity,
+    language, mixing, near_dups, pii, prefix_trie, quality, sentencepiece_codec, token_counts, token_files, topk, toxicity,
 )
 from fieldspark.llm.common import documents, table
 from fieldspark.session import work_path
@@ -76,5 +76,12 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(documents(spark, sf_dir), PII_KEY)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    turns = prefix_trie.with_shared_heads(prefix_trie.turns_of(conversations))
+    conv_ids = conversations.where("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    return prefix_trie.prefix_trie(turns, conv_ids)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
