@@ -94,6 +94,68 @@ CRC32 = """xor(list_reduce(flatten([[256 + ascii(c), -1, -1, -1, -1, -1, -1, -1,
     lambda crc, step: CASE WHEN step > 0 THEN xor(crc, step - 256)
       ELSE xor(crc >> 1, CASE WHEN crc & 1 = 1 THEN 3988292384 ELSE 0 END) END, 4294967295::BIGINT), 4294967295)"""
 
+OP11 = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS place FROM conversations
+), hashed AS (
+  SELECT *, CRC % 20 AS fault FROM turns
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed WHERE fault <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending FROM damaged
+), faulty AS (
+  SELECT *, role[1] AS initial, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM numbered
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+), insertions (state, reached, cost, letters, lines) AS (
+  -- Two insertions in a row reach every state that more of them reach.
+  VALUES (0, 0, 0, '', []::VARCHAR[]), (0, 2, 3, 'I', ['user:']), (0, 3, 6, 'II', ['user:', 'assistant:']),
+    (1, 1, 0, '', []), (1, 2, 3, 'I', ['user:']), (1, 3, 6, 'II', ['user:', 'assistant:']),
+    (2, 2, 0, '', []), (2, 3, 3, 'I', ['assistant:']), (2, 2, 6, 'II', ['assistant:', 'user:']),
+    (3, 3, 0, '', []), (3, 2, 3, 'I', ['user:']), (3, 3, 6, 'II', ['user:', 'assistant:'])
+), edits (letter, initial, state, reached, cost, says) AS (
+  VALUES ('D', '', 0, 0, 4, ''), ('D', '', 1, 1, 4, ''), ('D', '', 2, 2, 4, ''), ('D', '', 3, 3, 4, ''),
+    ('K', 's', 0, 1, 0, ''), ('K', 'u', 0, 2, 0, ''), ('K', 'u', 1, 2, 0, ''), ('K', 'u', 3, 2, 0, ''), ('K', 'a', 2, 3, 0, ''),
+    ('R', '', 0, 2, 3, 'user'), ('R', '', 1, 2, 3, 'user'), ('R', '', 3, 2, 3, 'user'), ('R', '', 2, 3, 3, 'assistant')
+), ways AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS state, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM counts
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, lines FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) AS place FROM (
+      SELECT w.conv_id, r.i, e.reached AS state, w.audit || n.letters || e.letter AS audit,
+        w.cost + n.cost + e.cost + CASE WHEN e.letter <> 'D' AND r.fault = 'truncated' THEN 3 ELSE 0 END AS cost,
+        w.lines || n.lines || CASE e.letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [r.role || ':' || r.text] ELSE [e.says || ':' || r.text] END AS lines
+      FROM ways w JOIN faulty r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+      JOIN insertions n ON n.state = w.state JOIN edits e ON e.state = n.reached
+      WHERE e.letter = 'D' OR (r.fault NOT IN ('blank', 'duplicate') AND (e.letter = 'R' OR e.initial = r.initial))))
+  WHERE place = 1
+), finished AS (
+  SELECT w.conv_id, w.cost + n.cost AS cost, w.audit || n.letters AS audit, w.lines || n.lines AS lines
+  FROM ways w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i
+  JOIN insertions n ON n.state = w.state AND n.reached IN (0, 3)
+), best AS (
+  SELECT * FROM finished QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+""".replace("CRC", CRC32.format(text="place"))
+
 OP13 = """
 WITH turns AS (
   SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
@@ -135,4 +197,4 @@ FROM families n LEFT JOIN nodes p ON p.node = n.parent JOIN below b ON b.node =
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_source_mixing": OP4, "op5_minhash_near_dedup": OP5, "op9_exact_top_k": OP9, "op13_prefix_trie": OP13}
+    return {"op4_source_mixing": OP4, "op5_minhash_near_dedup": OP5, "op9_exact_top_k": OP9, "op11_conversation_repair": OP11, "op13_prefix_trie": OP13}

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.llm import (
-    language, mixing, near_dups, pii, prefix_trie, quality, sentencepiece_codec, token_counts, token_files, topk, toxicity,
+    hnsw, language, mixing, near_dups, pii, prefix_trie, quality, repair, sentencepiece_codec, token_counts, token_files,
+    topk, toxicity,
 )
 from fieldspark.llm.common import documents, table
 from fieldspark.session import work_path
@@ -76,6 +77,15 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(documents(spark, sf_dir), PII_KEY)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair_report(conversations, repair.damaged(conversations))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     turns = prefix_trie.with_shared_heads(prefix_trie.turns_of(conversations))
