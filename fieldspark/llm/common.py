@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def kept_in_process(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in a worker process: workers are reused by later tasks.
+
+    Functions travel by value, so a global of their module would be new in every task.
+    """
+    keeper = sys.modules.setdefault("_kept_by_text_operators", ModuleType("_kept_by_text_operators"))
+    if not hasattr(keeper, "kept"):
+        keeper.kept = {}
+    if key not in keeper.kept:
+        keeper.kept[key] = make()
+    return keeper.kept[key]
+
+
 def over_batches(
     df: DataFrame, schema: str | StructType, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
     rows: int = SLICE,

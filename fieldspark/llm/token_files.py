@@ -26,8 +26,8 @@ segments. An empty table gives an empty file set. Columns other than doc_id and
 from __future__ import annotations
 
 import re
-import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +36,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fieldspark.llm.common import over_batches, texts
+from fieldspark.llm.common import kept_in_process, over_batches, texts
 
 # A segment closes with the document that takes it over so many ids or documents.
 SEGMENT_IDS, SEGMENT_DOCS = 1 << 20, 1 << 14
-# Most pre-tokens whose ids a task keeps; a full table starts anew.
-KEPT = 400_000
+# Most words and pre-tokens whose ids a worker process keeps; a full table starts anew. Longer words are not kept.
+KEPT, LONGEST_KEPT = 800_000, 64
 
 SEGMENT_SCHEMA = (
     "shard int, segment int, shard_start long, n_docs long, n_ids long, doc_ids array<long>, "
@@ -85,22 +85,25 @@ class Boundaries:
 
 
 class WordEncoder:
-    """Ids of whole texts with a tokenizers file, the ids of repeated pre-tokens kept.
+    """Ids of whole texts with a tokenizers file, the ids of repeated words and pre-tokens kept.
 
     The file's own steps are followed: NFC, lower case, split into pre-tokens, bytes as
-    characters, merges. Pre-tokens are encoded apart from each other, so the ids of a text are
-    those of its pre-tokens in a row. A text with characters whose class or case could be read
-    differently here, or with a special token's name, goes through the library as a whole.
+    characters, merges. Pre-tokens hold no blank and are encoded apart from each other, so the ids of a
+    text are those of its blank-separated words in a row, and those of a word the ids of its
+    pre-tokens. A word with characters whose class or case could be read differently here, or with a
+    special token's name, goes through the library. Up to U+024F nothing composes, so NFC changes nothing.
     """
 
     # Beyond these ranges, classes and cases are left to the library.
-    _UNUSUAL = re.compile("[^\x00-ɏ]|[²³¹¼-¾İ\x1c-\x1f]|<\\|")
+    _UNUSUAL = re.compile("[^\x00-ɏ]|[²³¹¼-¾İ]|<\\|")
     _PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:_|[^\w\s])+")
+    # Control characters that only Python reads as blanks.
+    _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self._of_word)
         # Printable bytes stand for themselves, the others for characters from 256 on.
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = iter(range(256, 512))
@@ -108,24 +111,46 @@ class WordEncoder:
 
     def __call__(self, text: str) -> bytes:
         """The ids of a text as 32-bit integers."""
-        if self._UNUSUAL.search(text):
+        if any(sign in text for sign in self._SEPARATORS):
             return self.by_library(text)
-        if len(self.known) > KEPT:
-            self.known = {}
-        known = self.known
-        tokens = self._PRE_TOKEN.findall(unicodedata.normalize("NFC", text).lower())
-        try:
-            return b"".join([known[token] for token in tokens])
-        except KeyError:
-            return b"".join([known.get(token) or self._learn(token) for token in tokens])
+        # Lower case makes fewer words; beyond ASCII it is left to each word.
+        words = (text.lower() if text.isascii() else text).split()
+        return b"".join(map(self.known.__getitem__, words))
 
     def by_library(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, token: str) -> bytes:
-        signs = token if token.isascii() and token.isprintable() else "".join(self.byte_signs[b] for b in token.encode())
-        ids = np.array([t.id for t in self.library.model.tokenize(signs)], "<u4").tobytes()
-        self.known[token] = ids
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _of_word(self, word: str) -> bytes:
+        # Small letters alone are one pre-token, and most words.
+        if word.isascii() and word.isalpha() and word.islower():
+            return self._of_token(word)
+        if self._UNUSUAL.search(word):
+            return self.by_library(word)
+        tokens = self._PRE_TOKEN.findall(word.lower())
+        if tokens == [word]:
+            return self._of_token(word)
+        return b"".join([self.known.get(token) or self.known.keep(token, self._of_token(token)) for token in tokens])
+
+    def _of_token(self, token: str) -> bytes:
+        signs = token if token.isascii() and token.isprintable() else "".join([self.byte_signs[b] for b in token.encode()])
+        return array("I", [piece.id for piece in self.library.model.tokenize(signs)]).tobytes()
+
+
+class _Known(dict):
+    """Ids of words, worked out when they are first asked for."""
+
+    def __init__(self, ids_of: Callable[[str], bytes]):
+        super().__init__()
+        self.ids_of = ids_of
+
+    def __missing__(self, word: str) -> bytes:
+        return self.keep(word, self.ids_of(word))
+
+    def keep(self, word: str, ids: bytes) -> bytes:
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= KEPT:
+                self.clear()
+            self[word] = ids
         return ids
 
 
@@ -138,7 +163,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, path: str) -
     )
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = WordEncoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encode = kept_in_process(("words of", tokenizer), lambda: WordEncoder(tokenizer))
+        end = np.array([end_id], "<u4").tobytes()
         doc_ids, parts, held, number, shard_start, shard = [], [], 0, 0, 0, 0
 
         def close() -> pa.RecordBatch:
@@ -182,7 +208,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     shards = segments.groupBy("shard").agg(F.sum("n_ids").alias("in_shard")).select(
         "shard", (F.sum("in_shard").over(W.orderBy("shard")) - F.col("in_shard")).alias("before")
     )
-    placed = segments.join(shards, "shard").withColumn("start", F.col("before") + F.col("shard_start"))
+    placed = segments.join(F.broadcast(shards), "shard").withColumn("start", F.col("before") + F.col("shard_start"))
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:

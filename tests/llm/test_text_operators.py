@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from hashlib import sha256
@@ -73,6 +74,26 @@ def test_word_encoder_equals_the_library():
         assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_word_encoder_by_words_equals_the_library(monkeypatch):
+    """Words with signs the library must read stand alone; a table that starts anew changes nothing."""
+    monkeypatch.setattr(token_files, "KEPT", 50)
+    encode, library = token_files.WordEncoder(WORDS), Tokenizer.from_file(WORDS)
+    pieces = [
+        "plain", "It's", "naïve", "Straße", "İstanbul", "ΣΑΣ", "日本語", "don\u2019t", "½", "e\u0301", "\u0301", "<|endoftext|>", "<|", "x<|startoftext|>y",
+        "A" * 70 + "é", "...", "a_b", "٣", "ǅ", "\u2003wide", "\x85", "\xa0", "\x1c", "'S", "\u00ad", "ﬁ", "\ufeff", "\x00", "\x7f.", "\x9f",
+    ]
+    rng = np.random.default_rng(8)
+    for _ in range(3_000):
+        words = [pieces[k] for k in rng.integers(0, len(pieces), 6)]
+        text = "".join(word + str(rng.choice(np.array([" ", "  ", "\n", "\t", "", "\x0b", "\u3000"], object))) for word in words)
+        assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_nothing_composes_in_the_range_read_here():
+    signs = [chr(c) for c in range(0x250)]
+    assert all(unicodedata.is_normalized("NFC", a + b) for a in signs for b in signs)
+
+
 @pytest.mark.parametrize("values", [[7], [0, 0, 0], [1, 3, 3, 900, 100_000], list(range(0, 5_000, 3))])
 def test_boundaries_round_trip(values):
     values = np.array(values, np.int64)
