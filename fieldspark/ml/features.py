@@ -15,6 +15,8 @@ FEATURES = [
 ]
 CATEGORICAL = ["area", "crop_type", "era"]
 TARGET = "target_yield"
+# A yield panel has one observation per area, crop and year: no observation lies on both sides of a split.
+PANEL_KEY = ["area", "crop_type", "year"]
 
 
 def with_split(df: DataFrame, keys: list[ColumnOrName], test_share: int = 5) -> DataFrame:

@@ -21,7 +21,7 @@ def stg_weather(weather: DataFrame, since: Column | None = None) -> DataFrame:
     return _since(weather, since).select(
         "id", "latitude", "longitude",
         ns_to_timestamp("timestamp").alias("timestamp"),
-        "temperature", "humidity", "solar_radiation", "pressure",
+        *_as_doubles(["temperature", "humidity", "solar_radiation", "pressure"]),
         ns_to_timestamp("created_at").alias("created_at"),
     )
 
@@ -31,7 +31,7 @@ def stg_soil(soil: DataFrame, since: Column | None = None) -> DataFrame:
     return _since(soil, since).select(
         "id",
         ns_to_timestamp("timestamp").alias("timestamp"),
-        *SOIL_MEASURES,
+        *_as_doubles(SOIL_MEASURES),
         ns_to_timestamp("created_at").alias("created_at"),
     )
 
@@ -45,5 +45,10 @@ def stg_crop_yield(crop_yield: DataFrame) -> DataFrame:
     )
 
 
+def _as_doubles(columns: list[str]) -> list[Column]:
+    """Measures are decimals in the raw tables and doubles from here on."""
+    return [F.col(c).cast("double").alias(c) for c in columns]
+
+
 def _since(raw: DataFrame, since: Column | None) -> DataFrame:
     return raw if since is None else raw.where(F.col("timestamp") >= timestamp_to_ns(since))

@@ -6,11 +6,12 @@ the events or line items it is built from: each event is either a weather or a s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.functions.columns import hg_to_kg, hg_to_tonnes, timestamp_to_ns
 from fieldspark.operators.staging import stg_crop_yield, stg_soil, stg_weather
+from fieldspark.sources.schemas import PH_DEPTHS
 
 WEATHER_EVENTS = ["view", "click"]
 
@@ -59,6 +60,52 @@ def soil_from(events: DataFrame) -> DataFrame:
     )
 
 
+def _as_text(document: Column, broken: Column) -> Column:
+    """Documents as lines of JSON; those ``broken`` end in the middle."""
+    text = F.to_json(document)
+    return F.when(broken, F.substring(text, 1, 60)).otherwise(text).alias("value")
+
+
+def weather_documents(events: DataFrame) -> DataFrame:
+    """A delivered weather document per weather event: the event's hour and the next one.
+
+    Many events share place and hour. Some documents are broken, lack their latitude, or hold no
+    temperature or a humidity beyond its column.
+    """
+    user, event = F.col("user_id"), F.col("event_id")
+    start = F.unix_seconds(F.date_trunc("hour", "ts").cast("timestamp"))
+
+    def hour(shift):
+        return F.struct(
+            (start + shift).alias("datetimeEpoch"),
+            F.when(event % 7 != 0, F.col("value")).alias("temp"),
+            F.when(event % 50 == 0, 100000.0).otherwise(F.col("value") % 100).alias("humidity"),
+            (F.col("value") * 2).alias("solarradiation"),
+            (user + 950).cast("double").alias("pressure"),
+        )
+
+    document = F.struct(
+        F.when(event % 41 != 0, (user % 5 + 40).cast("double")).alias("latitude"),
+        (-(user % 3) - 120).cast("double").alias("longitude"),
+        F.array(F.struct(F.array(hour(0), hour(3600)).alias("hours"))).alias("days"),
+    )
+    return events.where(F.col("event_type").isin(WEATHER_EVENTS)).select(_as_text(document, event % 97 == 3))
+
+
+def soil_documents(events: DataFrame) -> DataFrame:
+    """A delivered soil record per soil event; some are broken, without time, or out of range."""
+    event = F.col("event_id")
+    surface = (F.col("user_id") % 4) * F.lit(0.5).cast("double") + 5
+    record = F.struct(
+        F.when(event % 43 != 0, F.unix_seconds(F.col("ts").cast("timestamp"))).alias("dt"),
+        F.when(event % 60 == 5, -5000.0).otherwise(F.col("value")).alias("t10"),
+        (F.col("value") + 1).alias("t0"),
+        F.when(event % 3 != 0, F.col("value") % 100).alias("moisture"),
+        *[(surface + k / 10).alias(key) for k, key in enumerate(PH_DEPTHS)],
+    )
+    return events.where(~F.col("event_type").isin(WEATHER_EVENTS)).select(_as_text(record, event % 97 == 3))
+
+
 def weather(spark, sf_dir):
     return weather_from(events(spark, sf_dir))
 

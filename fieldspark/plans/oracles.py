@@ -14,6 +14,10 @@ def avg(x: str) -> str:
     return f"avg({x})"
 
 
+def cut(column: str, precision: int, scale: int) -> str:
+    return f"CAST(floor({column} * 1e{scale}) / 1e{scale} AS DECIMAL({precision}, {scale})) AS {column}"
+
+
 def pct(x: str, p: float) -> str:
     return f"round(percentile_cont({p}) WITHIN GROUP (ORDER BY {x}), 6)"
 
@@ -158,6 +162,57 @@ CTES = {
         SELECT *, CASE WHEN ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8))::BIGINT % 5 = 0
                        THEN 'test' ELSE 'train' END AS split
         FROM predictions""",
+    # Documents as they are delivered, then as rows with a reason where they are put aside.
+    "weather_hours": """
+        SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'first' ELSE 'second' END AS run_id,
+               CASE WHEN event_id % 41 <> 0 THEN CAST(40 + user_id % 5 AS DOUBLE) END AS latitude,
+               CAST(-120 - user_id % 3 AS DOUBLE) AS longitude,
+               epoch_us(date_trunc('hour', ts) + to_seconds(shift)) * 1000 AS timestamp,
+               CASE WHEN event_id % 7 <> 0 THEN (value - 32) * 5e0 / 9e0 END AS temperature,
+               CASE WHEN event_id % 50 = 0 THEN 100000 ELSE value % 100 END AS humidity,
+               value * 2 AS solar_radiation, CAST(950 + user_id AS DOUBLE) AS pressure
+        FROM events, (VALUES (0), (3600)) AS s(shift) WHERE event_type IN ('view', 'click') AND event_id % 97 <> 3""",
+    "weather_judged": """
+        SELECT *, concat_ws(', ', CASE WHEN latitude IS NULL THEN 'NULL in latitude' END,
+               CASE WHEN abs(humidity) >= 1000 THEN 'humidity out of range' END) AS reason FROM weather_hours""",
+    "weather_decimals": """
+        SELECT run_id, CAST(latitude AS DECIMAL(8, 5)) AS latitude, CAST(longitude AS DECIMAL(8, 5)) AS longitude, timestamp,
+               CAST(temperature AS DECIMAL(5, 2)) AS temperature, CAST(humidity AS DECIMAL(5, 2)) AS humidity,
+               CAST(solar_radiation AS DECIMAL(8, 2)) AS solar_radiation, CAST(pressure AS DECIMAL(7, 2)) AS pressure
+        FROM weather_judged WHERE reason = ''""",
+    "landed_weather": f"""
+        SELECT row_number() OVER (ORDER BY run_id, timestamp, latitude, longitude) AS id, latitude, longitude, timestamp,
+               temperature, humidity, solar_radiation, pressure, epoch_us({AS_OF}) * 1000 AS created_at, run_id
+        FROM (SELECT * FROM weather_decimals QUALIFY row_number() OVER (PARTITION BY latitude, longitude, timestamp ORDER BY run_id,
+               temperature NULLS FIRST, humidity NULLS FIRST, solar_radiation NULLS FIRST, pressure NULLS FIRST) = 1)""",
+    "soil_judged": """
+        SELECT *, concat_ws(', ', CASE WHEN timestamp IS NULL THEN 'NULL in timestamp' END,
+               CASE WHEN abs(t_10_cm) >= 1000 THEN 't_10_cm out of range' END) AS reason
+        FROM (SELECT CASE WHEN event_id % 2 = 0 THEN 'first' ELSE 'second' END AS run_id,
+                     CASE WHEN event_id % 43 <> 0 THEN epoch_us(date_trunc('second', ts)) * 1000 END AS timestamp,
+                     value + 1 AS t_0_cm, CASE WHEN event_id % 60 = 5 THEN -5000 ELSE value END AS t_10_cm,
+                     CASE WHEN event_id % 3 <> 0 THEN value % 100 END AS moisture, 5e0 + CAST(user_id % 4 AS DOUBLE) * 5e-1 AS ph
+              FROM events WHERE event_type NOT IN ('view', 'click') AND event_id % 97 <> 3)""",
+    "landed_soil": f"""
+        SELECT row_number() OVER (ORDER BY run_id, timestamp, t_0_cm, t_10_cm, moisture NULLS FIRST, ph_0_5cm) AS id, *,
+               epoch_us({AS_OF}) * 1000 AS created_at
+        FROM (SELECT run_id, timestamp, CAST(t_0_cm AS DECIMAL(5, 2)) AS t_0_cm, CAST(t_10_cm AS DECIMAL(5, 2)) AS t_10_cm,
+                     CAST(moisture AS DECIMAL(5, 2)) AS moisture, CAST(ph AS DECIMAL(5, 2)) AS ph_0_5cm,
+                     CAST(ph + 0.1 AS DECIMAL(5, 2)) AS ph_5_15cm, CAST(ph + 0.2 AS DECIMAL(5, 2)) AS ph_15_30cm,
+                     CAST(ph + 0.3 AS DECIMAL(5, 2)) AS ph_30_60cm, CAST(ph + 0.4 AS DECIMAL(5, 2)) AS ph_60_100cm,
+                     CAST(ph + 0.5 AS DECIMAL(5, 2)) AS ph_100_200cm
+              FROM soil_judged WHERE reason = '')""",
+    "landed_daily": """
+        SELECT date_trunc('day', make_timestamp(w.timestamp // 1000)) AS date, avg(CAST(w.temperature AS DOUBLE)) AS avg_daily_temp,
+               avg(CAST(w.humidity AS DOUBLE)) AS avg_humidity, avg(CAST(s.moisture AS DOUBLE)) AS avg_soil_moisture,
+               avg(CAST(s.ph_0_5cm AS DOUBLE)) AS avg_ph, count(*) AS reading_count
+        FROM landed_weather w JOIN (
+          SELECT * FROM landed_soil
+          QUALIFY row_number() OVER (PARTITION BY timestamp // 86400000000000 ORDER BY timestamp DESC, id DESC) = 1
+        ) s ON s.timestamp // 86400000000000 = w.timestamp // 86400000000000 GROUP BY 1""",
+    "panel_split": """
+        SELECT CASE WHEN ('0x' || md5(concat_ws('|', area, crop_type, CAST(year AS VARCHAR)))[1:8])::BIGINT % 5 = 0
+                    THEN 'test' ELSE 'train' END AS split FROM training""",
 }
 
 # Model names of the data tests and their CTEs.
@@ -275,8 +330,12 @@ WEATHER_HOUR = """
     FROM events WHERE event_type IN ('view', 'click')"""
 
 BODIES = {
-    "scan_weather": "SELECT * FROM weather",
-    "scan_soil": "SELECT * FROM soil",
+    "scan_weather": "SELECT * REPLACE ({}) FROM weather".format(", ".join([
+        cut("latitude", 8, 5), cut("longitude", 8, 5), cut("temperature", 5, 2), cut("humidity", 5, 2),
+        cut("solar_radiation", 8, 2), cut("pressure", 7, 2)])),
+    "scan_soil": "SELECT * REPLACE ({}) FROM soil".format(", ".join(
+        cut(c, 5, 2) for c in ("t_0_cm", "t_10_cm", "moisture", "ph_0_5cm", "ph_5_15cm", "ph_15_30cm", "ph_30_60cm",
+                               "ph_60_100cm", "ph_100_200cm"))),
     "scan_crop_yield": "SELECT * FROM crop_yield",
     "csv_roundtrip": "SELECT * FROM flagged",
     "sql_text_query": "SELECT * EXCLUDE (prediction_requested_at) FROM conditions WHERE pesticide_intensity IS NOT NULL",
@@ -317,6 +376,30 @@ BODIES = {
     "soil_daily_latest": "SELECT * FROM soil_daily",
     "sensor_unified": "SELECT * FROM unified",
     "daily_conditions": "SELECT * FROM daily",
+    "landed_weather": "SELECT * FROM landed_weather",
+    "landed_soil": "SELECT * FROM landed_soil",
+    "landing_quarantine": """
+        SELECT table_name, reason, run_id, count(*) AS n FROM (
+          SELECT 'weather' AS table_name, reason, run_id FROM weather_judged WHERE reason <> ''
+          UNION ALL SELECT 'soil', reason, run_id FROM soil_judged WHERE reason <> ''
+          UNION ALL SELECT CASE WHEN event_type IN ('view', 'click') THEN 'weather' ELSE 'soil' END, 'corrupt document',
+            CASE WHEN event_id % 2 = 0 THEN 'first' ELSE 'second' END FROM events WHERE event_id % 97 = 3)
+        GROUP BY ALL""",
+    "landing_farm_summary": """
+        SELECT date, avg_daily_temp, avg_humidity, avg_soil_moisture, avg_ph, reading_count,
+               avg_daily_temp - lag(avg_daily_temp) OVER (ORDER BY date) AS temp_change_24h,
+               CASE WHEN reading_count < 20 THEN 'WARNING' ELSE 'HEALTHY' END AS sensor_status
+        FROM landed_daily""",
+    "training_job": f"""
+        SELECT count(*) AS total_rows, count(*) FILTER (split = 'train') AS train_size, count(*) FILTER (split = 'test') AS test_size,
+               CAST(8 AS INTEGER) AS features, {AS_OF} AS run_date, CAST(100 AS INTEGER) AS param_trees, CAST(20 AS INTEGER) AS param_depth,
+               'v2' AS production_version, CAST(0 AS BIGINT) AS scored_differently, true AS has_metrics
+        FROM panel_split""",
+    "forecast_job": f"""
+        SELECT run_id, row_number() OVER (ORDER BY run_id, area, crop_type, scenario) AS id, area, crop_type, year, scenario,
+               true AS units_agree, true AS copied, 'v1' AS model_version, {AS_OF} AS prediction_date,
+               2 * (SELECT count(*) FROM conditions) AS cursor
+        FROM conditions, (VALUES ('first'), ('second')) AS r(run_id)""",
     "daily_farm_summary": "SELECT * FROM summary ORDER BY date DESC",
     "rolling_7d_temp": """
         SELECT date, avg_daily_temp,

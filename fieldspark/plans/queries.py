@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldspark.functions.columns import hash_bucket, truncate
 from fieldspark.operators import crops, evaluate, labels, profile, quality, sensors, serving, staging
@@ -38,6 +39,7 @@ SINGLE_PRECISION = {
     "daily_conditions": [*_DAILY, "total_solar_radiation"],
     "stream_daily_conditions": [*_DAILY, "total_solar_radiation"],
     "daily_farm_summary": [*_DAILY, "temp_change_24h"],
+    "landing_farm_summary": [*_DAILY, "temp_change_24h"],
     "rolling_7d_temp": ["avg_daily_temp", "temp_7day_avg"],
     "irrigation_recommendation": _IRRIGATION,
     "stream_irrigation": _IRRIGATION,
@@ -65,12 +67,27 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
 
 # --- scans, sources, sinks ---------------------------------------------------
 
+def _as_declared(df, schema):
+    """Columns in their declared types. Numbers are cut, not rounded: engines differ in halves of the last digit."""
+    def declared(field):
+        value = F.col(field.name)
+        if isinstance(field.dataType, T.DecimalType):
+            value = F.floor(value * 10**field.dataType.scale) / 10**field.dataType.scale
+        return value.cast(field.dataType).alias(field.name)
+
+    return df.select(*[declared(field) for field in schema.fields])
+
+
 def scan_weather(spark, sf_dir):
-    return b.weather(spark, sf_dir)
+    path = work_path(spark, "raw-weather")
+    _as_declared(b.weather(spark, sf_dir), schemas.WEATHER).write.parquet(path)
+    return readers.read_weather(spark, path)
 
 
 def scan_soil(spark, sf_dir):
-    return b.soil(spark, sf_dir)
+    path = work_path(spark, "raw-soil")
+    _as_declared(b.soil(spark, sf_dir), schemas.SOIL).write.parquet(path)
+    return readers.read_soil(spark, path)
 
 
 def scan_crop_yield(spark, sf_dir):
@@ -631,6 +648,7 @@ SQL_QUERIES = [
 
 def registered() -> dict:
     """All registered queries by name."""
+    from fieldspark.plans.job_queries import JOB_QUERIES
     from fieldspark.plans.learning_queries import LEARNING_QUERIES
     from fieldspark.plans.stream_queries import STREAM_QUERIES
 
@@ -642,5 +660,5 @@ def registered() -> dict:
         run.__name__, run.__doc__ = query.__name__, query.__doc__
         return run
 
-    everything = [*SQL_QUERIES, *STREAM_QUERIES, *LEARNING_QUERIES]
+    everything = [*SQL_QUERIES, *STREAM_QUERIES, *LEARNING_QUERIES, *JOB_QUERIES]
     return {query.__name__: bound(query) for query in everything}

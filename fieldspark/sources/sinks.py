@@ -53,7 +53,7 @@ def append_ignore_conflicts(
     fresh = stored(without_conflicts(batch, None, keys, order_by), "append-batch")
     if not fresh.where(" or ".join(f"`{key}` is null" for key in keys)).isEmpty():
         raise ValueError(f"NULL in a key column of {keys}")
-    existing = _read_if_present(batch.sparkSession, path)
+    existing = read_if_present(batch.sparkSession, path)
     if existing is not None:
         first, last = fresh.agg(F.min(time_key), F.max(time_key)).first()
         existing = existing.where(F.col(time_key).between(first, last))
@@ -63,7 +63,7 @@ def append_ignore_conflicts(
 
 def read_cursor(spark: SparkSession, state_path: str, source: str) -> int:
     """Last committed id of a source; before the first copy, below every serial id."""
-    state = _read_if_present(spark, state_path)
+    state = read_if_present(spark, state_path)
     if state is None:
         return NOTHING_COPIED
     committed = state.where(F.col("source") == source).agg(F.max("last_id")).first()[0]
@@ -122,9 +122,9 @@ def materialise(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_present(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
