@@ -8,9 +8,13 @@ WITH RECURSIVE grades AS (
 ), docs AS (
   SELECT d.doc_id, d.source,
     coalesce(len(regexp_extract_all(d.text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    -ln((('0x' || md5('0:' || coalesce(d.doc_id::VARCHAR, 'null'))[1:13])::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
-      / CASE WHEN g.quality > 0 THEN 2.0 WHEN g.quality IS NOT NULL THEN 0.5 ELSE 1.0 END AS key
+    CASE WHEN g.quality > 0 THEN 2.0 WHEN g.quality IS NOT NULL THEN 0.5 ELSE 1.0 END AS weight
   FROM documents d LEFT JOIN grades g ON g.doc_id = d.doc_id
+), items AS (
+  SELECT source, doc_id, size, count(*) AS n, (size * count(*))::BIGINT AS total,
+    -ln((('0x' || md5('0:' || coalesce(doc_id::VARCHAR, 'null') || ':' || size)[1:13])::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+      / any_value(weight) AS key
+  FROM docs GROUP BY source, doc_id, size
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
     [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS weight
@@ -32,15 +36,24 @@ WITH RECURSIVE grades AS (
   FROM fill WHERE round = (SELECT count(*) FROM sources)
 ), budgets AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM targets
-), placed AS (
-  SELECT d.doc_id, d.size, b.source_size, b.target, b.epochs, b.target - (b.epochs * b.source_size)::DOUBLE AS budget,
-    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
-  FROM docs d JOIN budgets b ON b.source IS NOT DISTINCT FROM d.source
+), filling AS (
+  -- Eight rounds: of the items not taken, those of at most half the rest, by key, as long as their sum fits.
+  SELECT 0 AS round, i.*, b.source_size, b.target, b.epochs, b.target - (b.epochs * b.source_size)::DOUBLE AS rest, false AS taken
+  FROM items i JOIN budgets b ON b.source IS NOT DISTINCT FROM i.source
+  UNION ALL
+  SELECT round + 1, source, doc_id, size, n, total, key, source_size, target, epochs,
+    rest - sum(CASE WHEN now THEN total ELSE 0 END) OVER (PARTITION BY source)::DOUBLE, taken OR now
+  FROM (SELECT *, small AND sum(CASE WHEN small THEN total ELSE 0 END) OVER (
+      PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)::DOUBLE <= rest AS now
+    FROM (SELECT *, NOT taken AND total > 0 AND total <= rest / 2 AS small FROM filling WHERE round < 8))
+), filled AS (
+  SELECT *, row_number() OVER (PARTITION BY source, taken OR total = 0 ORDER BY abs(total - rest), key, doc_id NULLS FIRST, size) AS place
+  FROM filling WHERE round = 8
 ), counted AS (
-  SELECT *, epochs + CASE WHEN (2 * ahead + size)::DOUBLE <= 2 * budget THEN 1 ELSE 0 END AS copies FROM placed
+  SELECT *, epochs + CASE WHEN taken OR (total > 0 AND place = 1 AND abs(total - rest) < rest) THEN 1 ELSE 0 END AS copies FROM filled
 )
-SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies::BIGINT AS copies FROM counted
+SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies::BIGINT AS copies
+FROM counted, unnest(range(n)) AS r(k)
 """
 
 OP5 = r"""
