@@ -49,8 +49,19 @@ def test_every_stage_on_what_the_last_one_kept(spark, sf_dir):
 def test_awkward_and_empty_tables(spark, sf_dir):
     for docs in (helpers.awkward(spark), helpers.empty(spark)):
         for _, stage in corpus_pipeline.STAGES:
+            before = docs.collect()
             docs = corpus_pipeline.stored(stage(spark, docs, sf_dir), "test-stage")
-        docs.collect()
+            after = docs.collect()
+            assert bool(before) == bool(after)
+            if stage is corpus_pipeline.identify_language:
+                assert Counter(r.text for r in after) <= Counter(r.text for r in before if r.text and any(c.isalpha() for c in r.text))
+                assert docs.columns == corpus_pipeline.COLUMNS
+            elif stage is corpus_pipeline.drop_near_duplicates:
+                # Equal rows leave one; a row without doc_id stays.
+                assert sum(r.doc_id is None for r in after) == sum(r.doc_id is None for r in before)
+                assert max(Counter(r.doc_id for r in after if r.doc_id is not None).values(), default=1) == 1
+            elif stage is corpus_pipeline.mix_sources:
+                assert set(after) <= set(before)
 
 
 def test_repeated_rows_leave_one(spark, sf_dir):

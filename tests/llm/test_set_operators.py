@@ -1,4 +1,5 @@
 import math
+import os
 from collections import Counter, defaultdict
 from hashlib import md5
 
@@ -92,15 +93,31 @@ def brute_mix(rows, quality, weights=(5, 2, 1), most=3):
     result = []
     for s in sources:
         epochs = int(targets[s] // size_of[s]) if size_of[s] else 0
-        budget, ahead = targets[s] - epochs * size_of[s], 0
-
-        def key(row):
-            digest = md5(f"0:{'null' if row[0] is None else row[0]}".encode()).hexdigest()
-            return -math.log((int(digest[:13], 16) + 0.5) / 2**52) / quality.get(row[0], 1.0), row[0] is not None, row[0] or 0, row[2]
-
-        for d, _, n in sorted((r for r in sizes if r[1] == s), key=key):
-            result.append((d, n, size_of[s], round(targets[s], 6), n * (epochs + (2 * ahead + n <= 2 * budget))))
-            ahead += n
+        rest = targets[s] - epochs * size_of[s]
+
+        def key(item):
+            digest = md5(f"0:{'null' if item[0] is None else item[0]}:{item[1]}".encode()).hexdigest()
+            return -math.log((int(digest[:13], 16) + 0.5) / 2**52) / quality.get(item[0], 1.0), item[0] is not None, item[0] or 0, item[1]
+
+        items = Counter((d, n) for d, own, n in sizes if own == s)
+        left, chosen = sorted((i for i in items if i[1]), key=key), set()
+        for _ in range(8):
+            most, found = rest / 2, 0
+            for item in left:
+                total = item[1] * items[item]
+                if total <= most:
+                    if found + total > rest:
+                        break
+                    found += total
+                    chosen.add(item)
+            rest -= found
+            left = [item for item in left if item not in chosen]
+        if left:
+            last = min(left, key=lambda item: (abs(item[1] * items[item] - rest), key(item)))
+            if abs(last[1] * items[last] - rest) < rest:
+                chosen.add(last)
+        for item, count in items.items():
+            result += [(*item, size_of[s], round(targets[s], 6), item[1] * (epochs + (item in chosen)))] * count
     return Counter(result)
 
 
@@ -120,6 +137,28 @@ def test_mix_equals_a_plain_sort(spark, monkeypatch, buckets):
     assert sum(r["size"] for r in found) == pytest.approx(sum({r.source_size: r.target for r in found}.values()), rel=0.2)
 
 
+def test_large_documents_do_not_keep_out_small_ones(spark):
+    """A document of nearly the whole budget, first by its key or not, leaves the budget to the others."""
+    rows = [(k, "w " * 20, "a") for k in range(400)] + [(1000, "w " * 900, "a")] + [(5000, "w " * 5000, "b")]
+    for seed in range(2):
+        found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), seed=seed).collect()
+        target, size = next((r.target, r.source_size) for r in found if r.doc_id == 0)
+        assert 900 < target - size < 1800
+        assert abs(sum(r.taken for r in found if r.doc_id < 5000) - target) <= 10
+
+
+def test_every_source_comes_near_its_target(spark, sf_dir):
+    docs = spark.read.parquet(f"{os.path.dirname(sf_dir)}/sf0.01/documents.parquet")
+    items = mixing.mixed_items(docs).collect()
+    for source in {r.source for r in items}:
+        own = [r for r in items if r.source == source]
+        target, size = own[0].target, own[0].source_size
+        budget = target - target // size * size
+        smallest = min((r["size"] * r.rows for r in own if r["size"]), default=0)
+        taken = sum(r["size"] * r.rows * r.copies for r in own)
+        assert smallest >= budget / 100 or abs(taken - target) <= target / 100, source
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(helpers.empty(spark)).count() == 0
     blank = spark.createDataFrame([(1, None, None), (2, " ", "a")], "doc_id long, text string, source string")
