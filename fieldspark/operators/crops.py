@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.functions.columns import moment
-from fieldspark.operators.joins import null_safe
 from fieldspark.operators.percentiles import exact_percentiles
 
 # Scenario, rainfall factor, pesticide factor, temperature shift.
@@ -96,25 +95,15 @@ def current_conditions(base: DataFrame, as_of=None) -> DataFrame:
 
 def crop_benchmarks(staged: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
     """Yield statistics and typical conditions of each crop with enough samples."""
-    stats = (
-        staged.groupBy(F.col("item").alias("crop_type"))
-        .agg(
-            F.avg("hg_ha_yield").alias("avg_yield"),
-            F.max("hg_ha_yield").alias("max_yield"),
-            F.avg("avg_temp").alias("optimal_temp"),
-            F.stddev_samp("avg_temp").alias("temp_stddev"),
-            F.avg("average_rainfall_mm_per_year").alias("optimal_rainfall"),
-            F.avg("pesticides_tonnes").alias("typical_pesticide_use"),
-            F.count("*").alias("sample_size"),
-        )
-        .where(F.col("sample_size") >= min_samples)
-    )
-    quartiles = exact_percentiles(
-        staged.select(F.col("item").alias("q_crop_type"), "hg_ha_yield"),
-        ["q_crop_type"],
-        {"p25_yield": ("hg_ha_yield", 0.25), "p75_yield": ("hg_ha_yield", 0.75)},
-    )
-    return stats.join(quartiles, null_safe(stats, quartiles, ["crop_type"], "q_"), "left").select(
+    stats = {
+        "avg_yield": F.avg("hg_ha_yield"), "max_yield": F.max("hg_ha_yield"),
+        "optimal_temp": F.avg("avg_temp"), "temp_stddev": F.stddev_samp("avg_temp"),
+        "optimal_rainfall": F.avg("average_rainfall_mm_per_year"), "typical_pesticide_use": F.avg("pesticides_tonnes"),
+        "sample_size": F.count("*"),
+    }
+    quartiles = {"p25_yield": ("hg_ha_yield", 0.25), "p75_yield": ("hg_ha_yield", 0.75)}
+    by_crop = exact_percentiles(staged.withColumnRenamed("item", "crop_type"), ["crop_type"], quartiles, stats=stats)
+    return by_crop.where(F.col("sample_size") >= min_samples).select(
         "crop_type", "avg_yield", "p25_yield", "p75_yield", "max_yield", "optimal_temp",
         "temp_stddev", "optimal_rainfall", "typical_pesticide_use", "sample_size",
     )

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-from fieldspark.operators.joins import broadcast_within, null_safe
+from fieldspark.operators.joins import broadcast_within
 from fieldspark.operators.percentiles import exact_percentiles
 
 THRESHOLDS = (5, 10, 20)
@@ -24,20 +23,13 @@ def prediction_errors(df: DataFrame, actual: str = "actual", predicted: str = "p
 
 def errors_by(errors: DataFrame, key: str) -> DataFrame:
     """Mean and median error per group, worst mean percentage first."""
-    stats = errors.groupBy(key).agg(
-        F.avg("percentage_error").alias("mean_ape"),
-        F.count("percentage_error").alias("n"),
-        F.avg("absolute_error").alias("mean_ae"),
-    )
-    medians = exact_percentiles(
-        errors.withColumnRenamed(key, "m_" + key), ["m_" + key],
-        {"median_ape": ("percentage_error", 0.5), "median_ae": ("absolute_error", 0.5)},
-    )
-    return (
-        stats.join(medians, null_safe(stats, medians, [key], "m_"), "left")
-        .select(key, "mean_ape", "median_ape", "n", "mean_ae", "median_ae")
-        .orderBy(F.desc("mean_ape"), key)
-    )
+    stats = {
+        "mean_ape": F.avg("percentage_error"), "n": F.count("percentage_error"), "mean_ae": F.avg("absolute_error"),
+    }
+    medians = {"median_ape": ("percentage_error", 0.5), "median_ae": ("absolute_error", 0.5)}
+    return exact_percentiles(errors, [key], medians, stats=stats).select(
+        key, "mean_ape", "median_ape", "n", "mean_ae", "median_ae"
+    ).orderBy(F.desc("mean_ape"), key)
 
 
 def mean_ape_by(errors: DataFrame, key: str) -> DataFrame:
@@ -49,23 +41,16 @@ def mean_ape_by(errors: DataFrame, key: str) -> DataFrame:
 
 def error_distribution(errors: DataFrame) -> DataFrame:
     """One row: mean, median and deviation of the absolute error, percentiles of the percentage error."""
-    stats = errors.agg(
-        F.count("*").alias("n"),
-        F.avg("absolute_error").alias("mean_ae"),
-        F.stddev_samp("absolute_error").alias("std_ae"),
-        F.avg("percentage_error").alias("mean_ape"),
-        F.lit("all").alias("scope"),
-    )
-    ranks = exact_percentiles(
-        errors.select("absolute_error", "percentage_error", F.lit("all").alias("scope")), ["scope"],
-        {
-            "median_ae": ("absolute_error", 0.5),
-            "median_ape": ("percentage_error", 0.5),
-            "p75_ape": ("percentage_error", 0.75),
-            "p95_ape": ("percentage_error", 0.95),
-        },
-    )
-    return stats.join(ranks, "scope", "left").select(
+    stats = {
+        "n": F.count("*"), "mean_ae": F.avg("absolute_error"), "std_ae": F.stddev_samp("absolute_error"),
+        "mean_ape": F.avg("percentage_error"),
+    }
+    ranks = {
+        "median_ae": ("absolute_error", 0.5), "median_ape": ("percentage_error", 0.5),
+        "p75_ape": ("percentage_error", 0.75), "p95_ape": ("percentage_error", 0.95),
+    }
+    # A grouping without keys has one row, also without errors.
+    return exact_percentiles(errors, [], ranks, stats=stats).select(
         "n", "mean_ae", "median_ae", "std_ae", "mean_ape", "median_ape", "p75_ape", "p95_ape"
     )
 
@@ -89,18 +74,12 @@ def regression_metrics(
 ) -> DataFrame:
     """RMSE, MAE, R², mean and median APE per group."""
     errors = prediction_errors(df, actual, predicted)
-    stats = errors.groupBy(*by).agg(
-        F.count("*").alias("n"),
-        F.sqrt(F.avg(F.col("error") * F.col("error"))).alias("rmse"),
-        F.avg("absolute_error").alias("mae"),
-        (1 - F.try_divide(F.avg(F.col("error") * F.col("error")), F.var_pop(actual))).alias("r2"),
-        F.avg("percentage_error").alias("mean_ape"),
-    )
-    medians = exact_percentiles(
-        errors.select(*[F.col(k).alias("m_" + k) for k in by], "percentage_error"),
-        ["m_" + k for k in by], {"median_ape": ("percentage_error", 0.5)},
-    )
-    return stats.join(medians, null_safe(stats, medians, by, "m_"), "left").select(
+    squared = F.avg(F.col("error") * F.col("error"))
+    stats = {
+        "n": F.count("*"), "rmse": F.sqrt(squared), "mae": F.avg("absolute_error"),
+        "r2": 1 - F.try_divide(squared, F.var_pop(actual)), "mean_ape": F.avg("percentage_error"),
+    }
+    return exact_percentiles(errors, by, {"median_ape": ("percentage_error", 0.5)}, stats=stats).select(
         *by, "n", "rmse", "mae", "r2", "mean_ape", "median_ape"
     )
 

@@ -4,10 +4,11 @@ Spark's ``percentile`` keeps every distinct value of a group in one aggregation
 buffer, which fails once one group holds a large share of a big table. Here each
 group is narrowed around the wanted ranks first:
 
-1. a mergeable sketch (``percentile_approx``) places a few cut points per group;
-2. exact counts between the cut points tell which intervals hold wanted ranks;
-3. the values of those intervals, collapsed to distinct values with their counts,
-   are stored, usually well below one percent of the rows;
+1. one aggregate over the rows as they are places a few cut points per group and column, by mergeable
+   sketches (``percentile_approx``), and gives any plain statistics asked for;
+2. another one counts the values up to each cut point: exactly which intervals hold wanted ranks;
+3. only the values of those intervals, usually well below one percent, become rows of their own, collapsed
+   to distinct values with their counts, and are stored;
 4. an interval with still too many values for one task is narrowed again.
 
 The cut points only decide how much is kept. The intervals cover the whole line and
@@ -16,7 +17,7 @@ their counts are exact, so the result is exact whatever the sketch says.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from fieldspark.session import checkpointed, stored
 # Relative error 0.1 %: a sketch stays at a few ten kilobytes, however large its group.
 SKETCH_ACCURACY = 1_000
 # Cut points around each wanted rank, in units of the sketch error.
-CUT_STEPS = (-20, -2, 2, 20)
+CUT_STEPS = (-2, 2)
 # Cut points of every further narrowing.
 EVEN_CUTS = [i / 64 for i in range(1, 64)]
 # Most distinct values one task has to order.
@@ -39,41 +40,100 @@ def exact_percentiles(
     wanted: dict[str, tuple[str, float]],
     accuracy: int = SKETCH_ACCURACY,
     task_values: int = TASK_VALUES,
+    stats: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row per group: ``keys`` plus one column per entry of ``wanted``.
 
     ``wanted`` maps an output name to ``(column, p)``. NULLs are ignored, ranks are
     interpolated linearly (``percentile_cont``), and a group without values has no row.
+    With ``stats``, aggregates by name, every group has a row with those columns as well.
     """
-    measures = sorted({column for column, _ in wanted.values()})
     ranks = sorted({p for _, p in wanted.values()})
-    group = [*keys, "_measure"]
-    near = sorted({min(max(p + step / accuracy, 0.0), 1.0) for p in ranks for step in CUT_STEPS})
+    own = keys or ["_all"]
+    rows = df if keys else df.withColumn("_all", F.lit(0))
+    group = [*own, "_measure"]
 
-    values = _narrow(_long_form(df, keys, measures), group, ranks, near, accuracy)
+    summary, values = _first_cut(rows, own, wanted, accuracy, stats or {})
     while _largest_interval(values, group) > task_values:
         values = _narrow(values, group, ranks, EVEN_CUTS, accuracy)
 
     upto = F.sum("_rows").over(W.partitionBy(*group, "_before").orderBy("_x")) + F.col("_before")
     ordered = values.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("_rows"))
-    return ordered.groupBy(*keys).agg(
+    result = ordered.groupBy(*own).agg(
         *[_interpolated(column, p).alias(name) for name, (column, p) in wanted.items()]
     )
+    if stats is None:
+        return result.select(*keys, *wanted)
+    mine = summary.select(*[F.col(k).alias("_s_" + k) for k in own], *stats)
+    return mine.join(result, null_safe(result, mine, own, "_s_"), "left").select(
+        *[F.col("_s_" + k).alias(k) for k in keys], *stats, *wanted
+    )
 
 
-def _long_form(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """Rows (keys, measure, x): each value once, in an interval that starts at rank 0."""
-    if len(measures) == 1:
-        value = F.col(measures[0]).cast("double").alias("_x")
-        long = df.select(*keys, F.lit(measures[0]).alias("_measure"), value)
-    else:
-        long = df.select(*keys, F.inline(F.array(*[
-            F.struct(F.lit(m).alias("_measure"), F.col(m).cast("double").alias("_x")) for m in measures
-        ])))
-    return long.where(F.col("_x").isNotNull()).select(
-        "*", F.lit(0).cast("long").alias("_before"), F.lit(1).cast("long").alias("_rows"),
-        F.lit(None).cast("long").alias("_n"),
+def _first_cut(
+    df: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]], accuracy: int, stats: dict[str, Column]
+) -> tuple[DataFrame, DataFrame]:
+    """One row per group with statistics and cut points, and the values of the intervals that hold wanted ranks."""
+    ranks_of: dict[str, list[float]] = {}
+    for measure, p in wanted.values():
+        ranks_of[measure] = sorted({*ranks_of.get(measure, []), p})
+    points = {
+        m: sorted({min(max(p + step / accuracy, 0.0), 1.0) for p in ranks for step in CUT_STEPS}) for m, ranks in ranks_of.items()
+    }
+    numbered = list(enumerate(ranks_of))
+    value = {m: F.col(m).cast("double") for m in ranks_of}
+    # Without keys there is one group, also without rows.
+    grouped = df.groupBy() if keys == ["_all"] else df.groupBy(*keys)
+    summary = checkpointed(grouped.agg(
+        *[F.percentile_approx(value[m], F.array(*[F.lit(p) for p in points[m]]), accuracy).alias(f"_cuts{i}") for i, m in numbered],
+        *[F.count(value[m]).alias(f"_n{i}") for i, m in numbered], *[column.alias(name) for name, column in stats.items()],
+    ))
+    if keys == ["_all"]:
+        summary = summary.withColumn("_all", F.lit(0))
+    cuts = summary.select(*[F.col(k).alias("_c_" + k) for k in keys], *[c for i, _ in numbered for c in (f"_cuts{i}", f"_n{i}")])
+    small = fits(cuts)
+    rows = df.select(*keys, *[value[m].alias(f"_x{i}") for i, m in numbered])
+
+    def met(side: DataFrame) -> DataFrame:
+        return rows.join(sized(side, small), null_safe(rows, side, keys, "_c_"))
+
+    def cut(i: int, j: int) -> Column:
+        return F.get(f"_cuts{i}", F.lit(j))
+
+    upto = met(cuts).groupBy(*keys).agg(*[
+        F.count_if(F.col(f"_x{i}") <= cut(i, j)).alias(f"_upto{i}_{j}") for i, m in numbered for j in range(len(points[m]))
+    ]).select(*[F.col(k).alias("_p_" + k) for k in keys], *[f"_upto{i}_{j}" for i, m in numbered for j in range(len(points[m]))])
+    # Where each interval with a wanted rank starts; NULL for the others.
+    starts = cuts.join(sized(upto, small), _same(keys))
+    needed = []
+    for i, m in numbered:
+        edges = [F.lit(0).cast("long"), *[F.col(f"_upto{i}_{j}") for j in range(len(points[m]))], F.col(f"_n{i}")]
+        needed.append(F.array(*[
+            F.when(_holds_any(ranks_of[m], low, high, f"_n{i}"), low) for low, high in zip(edges[:-1], edges[1:], strict=True)
+        ]).alias(f"_needed{i}"))
+    plan = starts.select(*["_c_" + k for k in keys], *[c for i, _ in numbered for c in (f"_cuts{i}", f"_n{i}")], *needed)
+
+    found = []
+    for i, m in numbered:
+        piece = F.lit(0)
+        for j in range(len(points[m])):
+            piece = piece + F.when(F.col(f"_x{i}") > cut(i, j), 1).otherwise(0)
+        start = F.when(F.col(f"_x{i}").isNotNull(), F.get(f"_needed{i}", piece))
+        found.append(F.when(start.isNotNull(), F.struct(
+            F.lit(m).alias("_measure"), start.alias("_before"), F.col(f"_x{i}").alias("_x"), F.col(f"_n{i}").alias("_n")
+        )))
+    kept = (
+        met(plan).select(*[rows[k] for k in keys], F.inline(F.array_compact(F.array(*found))))
+        .groupBy(*keys, "_measure", "_before", "_x").agg(F.count("*").alias("_rows"), F.first("_n").alias("_n"))
     )
+    return summary, stored(kept, "percentile-values")
+
+
+def _same(keys: list[str]) -> Column:
+    condition = F.lit(True)
+    for name in keys:
+        condition = condition & F.col("_c_" + name).eqNullSafe(F.col("_p_" + name))
+    return condition
 
 
 def _narrow(values: DataFrame, group: list[str], ranks: list[float], points: list[float], accuracy: int) -> DataFrame:
@@ -103,7 +163,7 @@ def _narrow(values: DataFrame, group: list[str], ranks: list[float], points: lis
         .agg(F.map_from_entries(F.collect_list(F.struct("_piece", "_start"))).alias("_needed"))
     )
     plan = needed.select(*[F.col(k).alias("_p_" + k) for k in interval], "_needed").join(
-        sized(cuts, small), _same_interval(interval)
+        sized(cuts, small), _same(interval)
     ).select(*["_c_" + k for k in interval], "_cuts", "_total", "_needed")
 
     kept = (
@@ -125,27 +185,20 @@ def _in_pieces(values: DataFrame, side: DataFrame, interval: list[str], cut_coun
     return joined.select(*[values[k] for k in interval], "_x", "_rows", piece.alias("_piece"), "_total", *extra)
 
 
-def _same_interval(interval: list[str]):
-    condition = F.lit(True)
-    for name in interval:
-        condition = condition & F.col("_c_" + name).eqNullSafe(F.col("_p_" + name))
-    return condition
-
-
 def _largest_interval(values: DataFrame, group: list[str]) -> int:
     sizes = values.groupBy(*group, "_before").count()
     return sizes.agg(F.max("count")).first()[0] or 0
 
 
-def _positions(p: float):
-    position = F.lit(p) * (F.col("_n") - 1)
+def _positions(p: float, n: str = "_n"):
+    position = F.lit(p) * (F.col(n) - 1)
     return position, F.floor(position), F.ceil(position)
 
 
-def _holds_any(ranks: list[float], start, end):
+def _holds_any(ranks: list[float], start, end, n: str = "_n"):
     condition = F.lit(False)
     for p in ranks:
-        for rank in _positions(p)[1:]:
+        for rank in _positions(p, n)[1:]:
             condition = condition | ((rank >= start) & (rank < end))
     return condition
 

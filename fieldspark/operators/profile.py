@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
 from fieldspark.operators.percentiles import exact_percentiles
 
 
@@ -22,27 +21,17 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max; one row per column."""
-    stats = df.agg(*[
-        F.struct(
-            F.count(c).alias("n"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-        ).alias(c)
-        for c in columns
-    ]).select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}`.{s}").alias(s) for s in ("n", "mean", "std", "min", "max")])
-        for c in columns
-    ])))
+    stats = {}
+    for c in columns:
+        stats |= {
+            f"{c}@n": F.count(c), f"{c}@mean": F.avg(c), f"{c}@std": F.stddev_samp(c),
+            f"{c}@min": F.min(c).cast("double"), f"{c}@max": F.max(c).cast("double"),
+        }
     quartiles = {f"{c}@{q}": (c, p) for c in columns for q, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))}
-    quartile_rows = exact_percentiles(df, [], quartiles).select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}@{q}`").alias(q) for q in ("p25", "p50", "p75")])
-        for c in columns
+    figures = ("n", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return exact_percentiles(df, [], quartiles, stats=stats).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"`{c}@{figure}`").alias(figure) for figure in figures]) for c in columns
     ])))
-    return stats.join(quartile_rows, "column_name").select(
-        "column_name", "n", "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
 
 
 def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -113,6 +114,68 @@ def relationships(
     return counts.select(_result(table, "relationships", column, severity, F.col("n")).alias("r")).select("r.*")
 
 
+@dataclass(frozen=True)
+class TableChecks:
+    """The checks of one table, to be run together.
+
+    ``accepted`` maps columns to their values, ``expressions`` are SQL predicates, ``unique`` are lists of key
+    columns, ``parents`` map a column to (table, column of the values it may hold).
+    """
+
+    not_null: tuple[str, ...] = ()
+    accepted: dict[str, list[str]] = field(default_factory=dict)
+    expressions: tuple[str, ...] = ()
+    unique: tuple[tuple[str, ...], ...] = ()
+    parents: dict[str, tuple[DataFrame, str]] = field(default_factory=dict)
+    severity: dict[str, str] = field(default_factory=dict)
+
+    def grade(self, check: str) -> str:
+        return self.severity.get(check, "error")
+
+
+def check_table(df: DataFrame, table: str, checks: TableChecks) -> DataFrame:
+    """All checks of a table from one scan of it.
+
+    Row checks are counters of one aggregate. A key that must be unique or have a parent groups that aggregate: its
+    counters are summed per key first, and the keys counted beside them. Only checks on a second key
+    need a scan of their own.
+    """
+    rules = [("not_null", c, F.col(c).isNull()) for c in checks.not_null]
+    rules += [("accepted_values", c, ~F.col(c).isin(values)) for c, values in checks.accepted.items()]
+    rules += [("expression", e, ~F.expr(e)) for e in checks.expressions]
+    keys = [*checks.unique, *[(c,) for c in checks.parents]]
+    counters = [F.count_if(rule).alias(f"_rule{i}") for i, (_, _, rule) in enumerate(rules)]
+    results = [(check, column, F.col(f"_rule{i}")) for i, (check, column, _) in enumerate(rules)]
+    others = []
+    if keys:
+        key = keys[0]
+        counts = df.groupBy(*key).agg(F.count("*").alias("_rows"), *counters)
+        sums = [F.coalesce(F.sum(f"_rule{i}"), F.lit(0)).alias(f"_rule{i}") for i in range(len(rules))]
+        if key in checks.unique:
+            present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+            sums.append(F.count_if(present & (F.col("_rows") > 1)).alias("_repeated"))
+            results.append(("unique", ",".join(key), F.col("_repeated")))
+        if len(key) == 1 and key[0] in checks.parents:
+            parent, column = checks.parents[key[0]]
+            known = parent.select(F.col(column).alias("_parent")).where("_parent is not null").distinct().withColumn("_known", F.lit(True))
+            counts = counts.join(known, F.col(key[0]) == F.col("_parent"), "left")
+            orphan = F.col(key[0]).isNotNull() & F.col("_known").isNull()
+            sums.append(F.coalesce(F.sum(F.when(orphan, F.col("_rows"))), F.lit(0)).alias("_orphans"))
+            results.append(("relationships", key[0], F.col("_orphans")))
+        totals = counts.agg(*sums)
+        others += [unique(df, table, list(k), checks.grade("unique")) for k in checks.unique if k != key]
+        others += [
+            relationships(df, table, c, parent, column, checks.grade("relationships"))
+            for c, (parent, column) in checks.parents.items() if (c,) != key
+        ]
+    else:
+        totals = df.agg(*counters)
+    together = totals.select(F.inline(F.array(*[
+        _result(table, check, column, checks.grade(check), count) for check, column, count in results
+    ])))
+    return combine([together, *others])
+
+
 def recency(df: DataFrame, table: str, column: str, days: int, as_of=None, severity: str = "warn") -> DataFrame:
     """Violated when the newest value is older than ``days``, or there is none."""
     oldest = moment(as_of) - F.make_dt_interval(F.lit(days))
@@ -133,15 +196,18 @@ def combine(results: list[DataFrame]) -> DataFrame:
 
 
 def run_declared_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every declared test over the given tables (pass written tables: each is read once per kind)."""
-    results = [not_null(tables[t], t, columns) for t, columns in NOT_NULL.items() if t in tables]
-    results += [unique(tables[t], t, [column]) for t, column in UNIQUE.items() if t in tables]
-    results += [accepted_values(tables[t], t, values) for t, values in ACCEPTED_VALUES.items() if t in tables]
-    if {"fct_ml_training_dataset", "dim_crop_benchmarks"} <= tables.keys():
-        results.append(relationships(
-            tables["fct_ml_training_dataset"], "fct_ml_training_dataset", "crop_type",
-            tables["dim_crop_benchmarks"], "crop_type", severity="warn",
-        ))
+    """Every declared test over the given tables (pass written tables: each is read once)."""
+    results = []
+    for table, df in tables.items():
+        parents = {}
+        if table == "fct_ml_training_dataset" and "dim_crop_benchmarks" in tables:
+            parents = {"crop_type": (tables["dim_crop_benchmarks"], "crop_type")}
+        checks = TableChecks(
+            tuple(NOT_NULL.get(table, ())), ACCEPTED_VALUES.get(table, {}), (),
+            ((UNIQUE[table],),) if table in UNIQUE else (), parents, {"relationships": "warn"},
+        )
+        if checks.not_null or checks.accepted or checks.unique or checks.parents:
+            results.append(check_table(df, table, checks))
     return combine(results)
 
 

@@ -213,6 +213,10 @@ CTES = {
     "panel_split": """
         SELECT CASE WHEN ('0x' || md5(concat_ws('|', area, crop_type, CAST(year AS VARCHAR)))[1:8])::BIGINT % 5 = 0
                     THEN 'test' ELSE 'train' END AS split FROM training""",
+    "readings": """
+        SELECT event_id AS id, CASE WHEN event_id % 11 <> 0 THEN user_id END AS sensor,
+               CASE WHEN event_id % 17 <> 0 THEN event_type END AS status, CASE WHEN event_id % 13 <> 0 THEN value END AS value
+        FROM events""",
 }
 
 # Model names of the data tests and their CTEs.
@@ -376,6 +380,16 @@ BODIES = {
     "soil_daily_latest": "SELECT * FROM soil_daily",
     "sensor_unified": "SELECT * FROM unified",
     "daily_conditions": "SELECT * FROM daily",
+    "dq_faulty_rows": _union([
+        *[check("readings", "not_null", c, f"count(*) FILTER (WHERE {c} IS NULL)", "readings") for c in ("id", "sensor", "status", "value")],
+        check("readings", "accepted_values", "status", "count(*) FILTER (WHERE status NOT IN ('view', 'click', 'purchase'))", "readings"),
+        check("readings", "expression", "value >= 10", "count(*) FILTER (WHERE NOT value >= 10)", "readings", "warn"),
+        check("readings", "expression", "value < 1000", "count(*) FILTER (WHERE NOT value < 1000)", "readings", "warn"),
+        *[check("readings", "unique", c, "count(*)", f"(SELECT {c} FROM readings WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+          for c in ("sensor", "id")],
+        check("readings", "relationships", "sensor", "count(*)",
+              "(SELECT 1 FROM readings ANTI JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON sensor = c_custkey WHERE sensor IS NOT NULL)"),
+    ]),
     "landed_weather": "SELECT * FROM landed_weather",
     "landed_soil": "SELECT * FROM landed_soil",
     "landing_quarantine": """

@@ -395,6 +395,20 @@ def dq_expression(spark, sf_dir):
     ])
 
 
+def dq_faulty_rows(spark, sf_dir):
+    """All kinds of checks on readings with missing, unknown, repeated and orphaned values."""
+    event = F.col("event_id")
+    readings = b.events(spark, sf_dir).select(
+        event.alias("id"), F.when(event % 11 != 0, F.col("user_id")).alias("sensor"),
+        F.when(event % 17 != 0, F.col("event_type")).alias("status"), F.when(event % 13 != 0, F.col("value")).alias("value"),
+    )
+    sensors_known = b.table(spark, sf_dir, "customer").where("c_acctbal > 0")
+    return quality.check_table(readings, "readings", quality.TableChecks(
+        ("id", "sensor", "status", "value"), {"status": ["view", "click", "purchase"]}, ("value >= 10", "value < 1000"),
+        (("sensor",), ("id",)), {"sensor": (sensors_known, "c_custkey")}, {"expression": "warn"},
+    ))
+
+
 def dq_all_checks(spark, sf_dir):
     """Write all models, then run all declared tests on the written tables."""
     tables = reports.write_models(
@@ -635,7 +649,7 @@ SQL_QUERIES = [
     rolling_7d_temp, sensor_monitoring, irrigation_recommendation, sensor_range, latest_reading,
     active_alerts, live_status, trend_series, base_scenarios, current_conditions, crop_benchmarks,
     dq_not_null, dq_unique, dq_accepted_values, dq_relationships, dq_composite_unique, dq_recency,
-    dq_equal_rowcount, dq_expression, dq_all_checks,
+    dq_equal_rowcount, dq_expression, dq_faulty_rows, dq_all_checks,
     distinct_counts, distinct_values, describe_numeric, null_profile, correlation_matrix,
     histogram_yield, latest_n, latest_soil, latest_100_readings, prediction_output, scenario_summary,
     prediction_summary, top_predictions, bottom_predictions, predictions_by_crop, forecast_kpis,

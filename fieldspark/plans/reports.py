@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldspark.functions.columns import timestamp_to_ns, truncate
 from fieldspark.operators import crops, quality, sensors, staging
 from fieldspark.operators.serving import latest_predictions
+from fieldspark.session import stored
 
 
 def unified_readings(weather: DataFrame, soil: DataFrame, since=None) -> DataFrame:
@@ -90,7 +91,8 @@ def farm_models(
         "fct_ml_training_dataset": lambda: crops.ml_training_dataset(features),
         "fct_current_conditions": lambda: scenario_conditions(staged_yield, as_of),
         "fct_sensor_monitoring": lambda: monitoring(weather, soil, as_of),
-        "dim_crop_benchmarks": lambda: crops.crop_benchmarks(staged_yield),
+        # Read more than once: stored rather than derived again each time.
+        "dim_crop_benchmarks": lambda: crops.crop_benchmarks(stored(staged_yield, "crop-yield")),
         "rpt_daily_farm_summary": lambda: farm_summary(weather, soil),
         "rpt_irrigation_recommendations": lambda: irrigation(weather, soil, as_of),
     }

@@ -66,3 +66,30 @@ def test_all_declared_checks_are_run(spark, sf_dir):
     counts = {r.check_name: r["count"] for r in results.groupBy("check_name").count().collect()}
     assert counts == {"not_null": 66, "unique": 3, "accepted_values": 7, "relationships": 1}
     assert results.where(F.col("status") == "fail").count() == 0
+
+
+def test_a_tables_checks_run_together(spark):
+    rows = [(1, "a", 5.0), (1, "b", None), (2, None, -1.0), (None, "c", 7.0), (None, "a", 8.0), (3, "a", 9.0)]
+    df = spark.createDataFrame(rows, "k int, s string, x double")
+    parents = spark.createDataFrame([(1,), (3,), (3,), (None,)], "id int")
+    checks = quality.TableChecks(
+        ("k", "s", "x"), {"s": ["a", "b"]}, ("x > 0",), (("k",), ("k", "s")), {"k": (parents, "id")}, {"expression": "warn"},
+    )
+    result = quality.check_table(df, "t", checks)
+    found = {(r.check_name, r.column_name): (r.violations, r.status) for r in result.collect()}
+    assert found == {
+        ("not_null", "k"): (2, "fail"), ("not_null", "s"): (1, "fail"), ("not_null", "x"): (1, "fail"),
+        ("accepted_values", "s"): (1, "fail"), ("expression", "x > 0"): (1, "warn"), ("unique", "k"): (1, "fail"),
+        ("unique", "k,s"): (0, "pass"), ("relationships", "k"): (1, "fail"),
+    }
+    none = {(r.check_name, r.column_name): r.violations for r in quality.check_table(df.limit(0), "t", checks).collect()}
+    assert set(none) == set(found) and set(none.values()) == {0}
+
+
+def test_declared_checks_read_each_table_once(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    spark.sql("select date'2024-01-01' as date, 1.0 as avg_daily_temp, 0.0 as min_daily_temp, 2.0 as max_daily_temp, 3L as reading_count").write.parquet(path)
+    checks = quality.run_declared_checks({"int_daily_conditions": spark.read.parquet(path)})
+    plan = checks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert {r.check_name for r in checks.collect()} == {"not_null", "unique"}
