@@ -52,7 +52,7 @@ class Shape:
 
     links: int = 16
     build_beam: int = 96
-    search_beam: int = 128
+    search_beam: int = 256
 
 
 INDEX_SCHEMA = (
