@@ -26,8 +26,8 @@ def _append(spark, stream, name):
     return jobs.append_available(stream, work_path(spark, name), work_path(spark, f"{name}-progress"))
 
 
-def _replace(spark, stream, name):
-    return jobs.replace_available(stream, work_path(spark, name), work_path(spark, f"{name}-progress"))
+def _keep(spark, stream, key, name):
+    return jobs.keep_current(stream, [key], work_path(spark, name), work_path(spark, f"{name}-progress"))
 
 
 def stream_ingest(spark, sf_dir):
@@ -49,11 +49,11 @@ def stream_unified(spark, sf_dir):
 
 
 def stream_daily_conditions(spark, sf_dir):
-    return _replace(spark, jobs.daily_stream(_unified(spark, sf_dir)), "stream-daily")
+    return _keep(spark, jobs.daily_stream(_unified(spark, sf_dir)), "date", "stream-daily")
 
 
 def stream_irrigation(spark, sf_dir):
-    return _replace(spark, jobs.irrigation_stream(_unified(spark, sf_dir)), "stream-irrigation")
+    return _keep(spark, jobs.irrigation_stream(_unified(spark, sf_dir)), "window_start", "stream-irrigation")
 
 
 STREAM_QUERIES = [

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldspark.operators import sensors
-from fieldspark.sources.sinks import WEATHER_KEY
+from fieldspark.sources.sinks import WEATHER_KEY, read_if_present
 
 LATE_BY = "1 day"
+# Versions of a live table that stay besides the newest one.
+VERSIONS = 2
 
 
 def _with_event_time(stream: DataFrame, column: str, late_by: str) -> DataFrame:
@@ -82,19 +84,47 @@ def append_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame
     return stream.sparkSession.read.parquet(path)
 
 
-def replace_available(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Keep a parquet table equal to a windowed aggregate, open windows included.
+def keep_current(stream: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
+    """Keep a table equal to a windowed aggregate, open windows included.
 
-    The aggregate has one row per window, so each batch rewrites a small table; a
-    repeated batch writes the same rows again.
+    Each batch brings the windows it touched. They replace those of the newest version in a folder of the batch's own;
+    the pointer to it is written last, so a reader between two batches, or after a failed one, sees a whole
+    table. A repeated batch writes its folder again. The last ``VERSIONS`` versions stay for those who read them. The
+    table has one row per window; the state holds the windows within the watermark.
     """
-    def rewrite(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = [v for v in _versions(spark, path) if v < batch_id]
+        merged = batch
+        if before:
+            kept = spark.read.schema(batch.schema).parquet(f"{path}/version={before[-1]}")
+            merged = kept.join(batch.select(*keys), keys, "left_anti").select(*batch.columns).union(batch)
+        merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        spark.createDataFrame([(batch_id,)], "version long").coalesce(1).write.mode("append").parquet(f"{path}/pointer")
+        for old in before[:-VERSIONS]:
+            _remove(spark, f"{path}/version={old}")
 
     query = (
-        stream.writeStream.outputMode("complete").foreachBatch(rewrite)
+        stream.writeStream.outputMode("update").foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return stream.sparkSession.read.parquet(path)
+    return read_current(stream.sparkSession, path)
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version of a table kept by :func:`keep_current`."""
+    return spark.read.parquet(f"{path}/version={_versions(spark, path)[-1]}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions the pointer names, rising: one small row a batch."""
+    pointer = read_if_present(spark, f"{path}/pointer", T.StructType([T.StructField("version", T.LongType())]))
+    return [] if pointer is None else [row["version"] for row in pointer.distinct().orderBy("version").collect()]
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)

@@ -54,7 +54,7 @@ def test_repeats_are_dropped_across_batches(spark, sf_dir, arriving, tmp_path):
 
 def test_daily_roll_up_in_batches_equals_the_batch_form(spark, sf_dir, arriving, soil_daily, tmp_path):
     unified = jobs.unified_stream(stream(spark, arriving), soil_daily)
-    rolled = jobs.replace_available(jobs.daily_stream(unified), str(tmp_path / "out"), str(tmp_path / "p"))
+    rolled = jobs.keep_current(jobs.daily_stream(unified), ["date"], str(tmp_path / "out"), str(tmp_path / "p"))
     batch = sensors.daily_conditions(sensors.unify_readings(b.staged_weather(spark, sf_dir), soil_daily))
     # Means differ in their last bits with the order of arrival.
     means = {name: F.col(name).cast("float") for name in SINGLE_PRECISION["daily_conditions"]}
@@ -90,3 +90,16 @@ def test_readings_beyond_the_watermark_are_dropped(spark, tmp_path):
     counts = {str(r.date)[:10]: r.reading_count for r in run().collect()}
     assert counts["2025-01-01"] == 1
     assert "2025-01-09" not in counts
+
+
+def test_a_reader_sees_whole_versions_only(spark, arriving, soil_daily, tmp_path):
+    out, progress = str(tmp_path / "out"), str(tmp_path / "p")
+    unified = jobs.unified_stream(stream(spark, arriving), soil_daily)
+    final = rows(jobs.keep_current(jobs.daily_stream(unified), ["date"], out, progress))
+    versions = jobs._versions(spark, out)
+    assert len(versions) > 2 and len(list((tmp_path / "out").glob("version=*"))) <= jobs.VERSIONS + 1
+    # A version without a pointer, as a failed batch leaves it, is not read.
+    spark.read.parquet(f"{out}/version={versions[-1]}").limit(1).write.parquet(f"{out}/version={versions[-1] + 1}")
+    assert rows(jobs.read_current(spark, out)) == final
+    earlier = spark.read.parquet(f"{out}/version={versions[-2]}")
+    assert earlier.groupBy("date").count().where("count > 1").isEmpty() and 0 < earlier.count() <= len(final)
