@@ -30,11 +30,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import over_batches, texts
+from fieldspark.llm.common import kept_in_process, over_batches, texts
 
 MARK = "▁"
-# Most parts whose ids a task keeps, beyond those of the slice at hand; a full table starts anew.
-KEPT_PARTS = 400_000
+# Most parts whose ids a worker process keeps, beyond those of the texts at hand; a full table starts anew with the
+# parts it shares with those texts, which are the frequent ones.
+KEPT_PARTS = 200_000
+# Characters of the texts that are cut before their parts are looked up; a longer text stands alone.
+CUT_CHARS = 1 << 20
 # Parts up to this many characters share a table; rows of one table, and parts checked in one call.
 SHORT, ROWS, TOGETHER = 24, 4_096, 50_000
 # No symbol, and the rank of a pair that is no piece.
@@ -57,7 +60,7 @@ def _cutter(pieces: Iterable[str]) -> Callable[[str], list[str]]:
 
 
 class MergeCodec:
-    """Encoder and decoder over the pieces of a model file. Built once per task."""
+    """Encoder and decoder over the pieces of a model file. Built once per worker process."""
 
     def __init__(self, model: str):
         self.library = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -202,16 +205,18 @@ class MergeCodec:
         """A text with word marks for spaces, and one in front, cut where no merge passes."""
         return self.parted(MARK + text.replace(" ", MARK)) if text else []
 
-    def learn(self, batch: list[str]) -> None:
-        """Encode the new parts of a batch of texts and check them against the library."""
+    def learn(self, batch: list[str]) -> list[list[str]]:
+        """Encode the new parts of a batch of texts and check them against the library; gives each text's parts."""
         found: set[str] = set()
-        for text in batch:
-            found.update(self.cut(text))
+        cuts = [self.cut(text) for text in batch]
+        for parts in cuts:
+            found.update(parts)
         if len(self.parts) + len(found) > KEPT_PARTS:
-            self.parts = {}
+            self.parts = {part: self.parts[part] for part in found if part in self.parts}
         unknown = [part for part in found if part not in self.parts]
         for first in range(0, len(unknown), TOGETHER):
             self._encode_parts(unknown[first:first + TOGETHER])
+        return cuts
 
     def _encode_parts(self, parts: list[str]) -> None:
         ids: dict[str, list[int]] = {}
@@ -232,15 +237,32 @@ class MergeCodec:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids with the end id; its parts must have been learned."""
-        return np.frombuffer(b"".join([*map(self.parts.__getitem__, self.cut(text)), self.end]), np.int32)
+        return self.joined(self.cut(text))
+
+    def joined(self, parts: list[str]) -> np.ndarray:
+        """Ids of learned parts in a row, with the end id."""
+        return np.frombuffer(b"".join([*map(self.parts.__getitem__, parts), self.end]), np.int32)
+
+    def encode_all(self, batch: list[str]) -> list[np.ndarray]:
+        """Ids of every text, cut once each, some texts at a time."""
+        ids: list[np.ndarray] = []
+        some: list[str] = []
+        size = 0
+        for text in batch:
+            if some and size + len(text) > CUT_CHARS:
+                ids += map(self.joined, self.learn(some))
+                some, size = [], 0
+            some.append(text)
+            size += len(text)
+        return ids + [*map(self.joined, self.learn(some))]
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids; the space that stands for the first word mark is taken off."""
         return b"".join(map(self.spelled.__getitem__, ids.tolist())).decode("utf-8", "replace").removeprefix(" ")
 
-    def check(self, text: str) -> None:
-        """Compare one whole text with the library."""
-        ids, theirs = self.encode(text), self.library.encode(text, add_eos=True)
+    def check(self, text: str, ids: np.ndarray) -> None:
+        """Compare one whole text's ids with the library."""
+        theirs = self.library.encode(text, add_eos=True)
         if ids.tolist() != theirs or self.decode(ids) != self.library.decode(theirs):
             raise ValueError("the library encodes or decodes a text of this batch differently")
 
@@ -248,13 +270,12 @@ class MergeCodec:
 def encode_decode(docs: DataFrame, model: str) -> DataFrame:
     """Rows (doc_id, ids, decoded): the ids of every text, end id included, and their decoded text."""
     def start():
-        codec = MergeCodec(model)
+        codec = kept_in_process(("sentencepiece", model), lambda: MergeCodec(model))
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             whole = [text or "" for text in texts(batch)]
-            codec.learn(whole)
-            codec.check(whole[0])
-            ids = list(map(codec.encode, whole))
+            ids = codec.encode_all(whole)
+            codec.check(whole[0], ids[0])
             decoded = list(map(codec.decode, ids))
             ends = np.cumsum([0] + [len(found) for found in ids]).astype(np.int32)
             return pa.RecordBatch.from_arrays(

@@ -54,6 +54,21 @@ def test_both_forms_of_the_agenda_agree():
     assert codec.merge_short(parts) == [codec.merge_long(part) for part in parts]
 
 
+def test_pieces_cut_each_text_once_and_keep_frequent_parts(monkeypatch):
+    monkeypatch.setattr(sentencepiece_codec, "KEPT_PARTS", 40)
+    monkeypatch.setattr(sentencepiece_codec, "CUT_CHARS", 300)
+    codec, library = sentencepiece_codec.MergeCodec(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    cut, learned, cuts = codec.cut, [], []
+    encode_parts = codec._encode_parts
+    monkeypatch.setattr(codec, "cut", lambda text: cuts.append(text) or cut(text))
+    monkeypatch.setattr(codec, "_encode_parts", lambda parts: learned.extend(parts) or encode_parts(parts))
+    texts = [f"the same words and new ones: {'xyzab'[k % 5]}{k} w{k * 7919}" for k in range(60)] + ["", "long " * 200]
+    assert [ids.tolist() for ids in codec.encode_all(texts)] == library.encode(texts, add_eos=True)
+    assert cuts == texts
+    # A full table does not lose the parts that go on coming.
+    assert learned.count("▁same") == learned.count("▁words") == 1 and len(codec.parts) < 150
+
+
 def test_codec_query_columns(spark, docs, rows):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     found = queries.codec_digests(sentencepiece_codec.encode_decode(docs, PIECES)).collect()
