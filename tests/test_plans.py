@@ -76,3 +76,10 @@ def test_no_python_in_the_operators(spark, sf_dir):
     for query in (q.daily_farm_summary, q.active_alerts, q.current_conditions, q.correlation_matrix, q.label_codes):
         text = plan(query(spark, sf_dir))
         assert "Python" not in text and "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
+
+
+def test_models_of_the_yields_share_their_joins(spark, sf_dir):
+    tables = reports.farm_models(b.weather(spark, sf_dir), b.soil(spark, sf_dir), b.crop_yield(spark, sf_dir), q.MONITORING_AS_OF)
+    for name in reports.YIELD_MODELS:
+        read = {"lineitem" if "lineitem" in path else "stored" for path in tables[name].inputFiles() if "lineitem" in path or "crop-yield" in path}
+        assert read <= {"stored"} and "lineitem" not in plan(tables[name]), name
