@@ -35,14 +35,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def _keeper() -> ModuleType:
+    """Where a worker process keeps things: a module, as functions travel by value and a global of theirs would be new in every task."""
+    keeper = sys.modules.setdefault("_kept_by_text_operators", ModuleType("_kept_by_text_operators"))
+    if not hasattr(keeper, "kept"):
+        keeper.kept, keeper.asked = {}, set()
+    return keeper
+
+
 def kept_in_process(key: tuple, make: Callable[[], object]) -> object:
     """What ``make`` gives, made once in a worker process: workers are reused by later tasks.
 
-    Functions travel by value, so a global of their module would be new in every task.
+    It is kept until a task of :func:`over_batches` starts that does not ask for it.
     """
-    keeper = sys.modules.setdefault("_kept_by_text_operators", ModuleType("_kept_by_text_operators"))
-    if not hasattr(keeper, "kept"):
-        keeper.kept = {}
+    keeper = _keeper()
+    keeper.asked.add(key)
     if key not in keeper.kept:
         keeper.kept[key] = make()
     return keeper.kept[key]
@@ -54,14 +61,21 @@ def over_batches(
 ) -> DataFrame:
     """Run a batch function over a DataFrame's Arrow batches; ``start`` makes it once per task.
 
-    Batches are handled in slices of at most ``rows`` rows, which bounds what a task holds.
+    Batches are handled in slices of at most ``rows`` rows, which bounds what a task holds. A worker process outlives its
+    task: what other operators kept there, and memory that is free again, is given back.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keeper = _keeper()
+        keeper.asked = set()
         step = start()
+        for key in keeper.kept.keys() - keeper.asked:
+            del keeper.kept[key]
         for batch in batches:
             for first in range(0, batch.num_rows, rows):
                 yield step(batch.slice(first, rows))
+        del step
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -12,7 +12,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from fieldspark.llm import language, pii, quality, queries, sentencepiece_codec, token_counts, token_files, toxicity
+from fieldspark.llm import common, language, pii, quality, queries, sentencepiece_codec, token_counts, token_files, toxicity
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -412,3 +412,24 @@ def test_day_first_dates_with_slashes_move_like_others(spark):
     year, month, day = iso.split("-")
     assert day_first == f"{day}/{month}/{year}" and month_first == f"{month}/{day}/{year}"
     assert replaced(spark, ["31/02/1984", "32/12/1984"]) == ["31/02/1984", "32/12/1984"]
+
+
+def test_a_worker_process_drops_what_other_operators_kept():
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return lambda: list(run(iter([])))
+
+    made = []
+
+    def keeping():
+        common.kept_in_process(("test", 1), lambda: made.append(1) or object())
+        return lambda batch: batch
+
+    first, other = common.over_batches(Rows(), "a long", keeping), common.over_batches(Rows(), "a long", lambda: lambda batch: batch)
+    first()
+    first()
+    assert made == [1]
+    other()
+    assert not common._keeper().kept
+    first()
+    assert made == [1, 1]
