@@ -23,7 +23,7 @@ Repeated rows each give a row, an empty table none. Only text and, for fitting,
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -242,7 +242,27 @@ def training_sample(docs: DataFrame, fit: Fit) -> list[tuple[str, str]]:
 
 
 def fit_languages(docs: DataFrame, fit: Fit = Fit()) -> Field | None:
-    return fit_field(training_sample(docs, fit), fit)
+    """The field of the bounded sample, fitted in one task: it takes memory that a driver may not have to spare."""
+    sample = training_sample(docs, fit)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            field = fit_field(sample, fit)
+            if field is not None:
+                parts = [field.labels, list(field.features), field.weights.tobytes(), field.transitions.tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([part]) for part in parts], names)
+                del field, parts
+        pa.default_memory_pool().release_unused()
+
+    names = ["labels", "features", "weights", "transitions"]
+    one = docs.sparkSession.range(0, 1, 1, 1)
+    fitted = one.mapInArrow(run, "labels array<string>, features array<string>, weights binary, transitions binary").first()
+    if fitted is None:
+        return None
+    count = len(fitted["labels"])
+    weights, transitions = np.frombuffer(fitted["weights"], np.float32), np.frombuffer(fitted["transitions"])
+    features = {name: k for k, name in enumerate(fitted["features"])}
+    return Field(fitted["labels"], features, weights.reshape(-1, count), transitions.reshape(count, count))
 
 
 def predict_languages(docs: DataFrame, field: Field | None) -> DataFrame:

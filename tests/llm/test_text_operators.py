@@ -1,3 +1,4 @@
+import os
 import random
 import re
 import unicodedata
@@ -433,3 +434,15 @@ def test_a_worker_process_drops_what_other_operators_kept():
     assert not common._keeper().kept
     first()
     assert made == [1, 1]
+
+
+def test_languages_are_fitted_in_a_task(spark, sf_dir, monkeypatch):
+    docs, fit = common.documents(spark, sf_dir), language.Fit(rounds=2, documents=5)
+    expected, found = language.fit_field(language.training_sample(docs, fit), fit), language.fit_languages(docs, fit)
+    assert (found.labels, found.features) == (expected.labels, expected.features)
+    np.testing.assert_array_equal(found.weights, expected.weights)
+    np.testing.assert_array_equal(found.transitions, expected.transitions)
+    assert language.fit_languages(docs.limit(0), fit) is None
+    # The driver's memory is left alone.
+    monkeypatch.setattr(language, "fit_field", lambda *_: language.Field([str(os.getpid())], {}, np.zeros((0, 1), np.float32), np.zeros((1, 1))))
+    assert language.fit_languages(docs, fit).labels != [str(os.getpid())]
