@@ -1,6 +1,7 @@
 """Landing, training and forecast jobs: once each, in order, with what does not fit put aside."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from fieldspark.ml import models
 from fieldspark.operators import crops
 from fieldspark.plans import bindings as b
 from fieldspark.plans import jobs, reports
+from fieldspark.session import work_path
 from fieldspark.sources import landing, readers
 from fieldspark.sources.schemas import SOIL, WEATHER
 
@@ -134,3 +136,14 @@ def test_repeated_forecast_adds_nothing(spark, sf_dir, trained, tmp_path):
     everything = landing.read_runs(spark, tables.predictions, jobs.CROP_YIELD_PREDICTIONS)
     assert everything.select("id").distinct().count() == 2 * n
     assert everything.where("id > {}".format(n)).select("run_id").distinct().collect() == [("b",)]
+
+
+def test_training_leaves_nothing_but_its_model_behind(spark, sf_dir, tmp_path):
+    training = crops.ml_training_dataset(crops.crop_yield_features(b.staged_crop_yield(spark, sf_dir)))
+    folder = os.path.dirname(work_path(spark, "any"))
+    before = set(os.listdir(folder))
+    store = jobs.ModelStore(str(tmp_path / "store"))
+    run = jobs.train_yield_model(training, store, "v1", SMALL, as_of=AS_OF).first()
+    assert run.total_rows == 6000 and run.test_rmse > 0
+    assert not [name for name in set(os.listdir(folder)) - before if name.startswith(("training", "scored", "forest"))]
+    assert jobs.models.load_production(spark, store.registry, jobs.MODEL_NAME)[1].stages[-1].nodes.count() > 4
